@@ -116,6 +116,6 @@ def replay_dead_letters(
     return validate_envelope(dead_letters.select(body.alias("value")))
 
 
-def to_body(df: DataFrame, *extra: str) -> DataFrame:
-    """Envelope rows as compact JSON text in ``value``, beside the ``extra`` columns."""
-    return df.select(F.to_json(F.struct(*ENVELOPE_FIELDS)).alias("value"), *extra)
+def to_body(df: DataFrame) -> DataFrame:
+    """Envelope rows as compact JSON text in ``value``."""
+    return df.select(F.to_json(F.struct(*ENVELOPE_FIELDS)).alias("value"))

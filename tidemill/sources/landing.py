@@ -9,6 +9,7 @@ from tidemill.operators.envelope import annotate_envelope, to_body, valid_rows
 
 DATE_PARTITIONS = ("year", "month", "day")
 DEAD_LETTER_FOLDER = "_dlq"
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _dated(df: DataFrame, at: Column) -> DataFrame:
@@ -48,28 +49,17 @@ def bronze_from_landing(landing: DataFrame) -> DataFrame:
     return valid_rows(annotated).drop("value")
 
 
-def write_landing(
-    events: DataFrame,
-    path: str,
-    at: Column | None = None,
-    mode: str = "append",
-    extra_partitions: tuple[str, ...] = (),
-) -> None:
-    """Write envelope rows as compact JSON lines under the *ingestion* date."""
-    lines = to_body(events, *extra_partitions)
-    _dated(lines, F.current_timestamp() if at is None else at).write.mode(mode).partitionBy(
-        *DATE_PARTITIONS, *extra_partitions
-    ).text(path)
-
-
-def write_dead_letters(
-    rejects: DataFrame, path: str, mode: str = "append", extra_partitions: tuple[str, ...] = ()
-) -> None:
-    """Write (raw_body, error_reason, dlq_timestamp) under the landing's dead-letter folder."""
-    dated = _dated(rejects, F.col("dlq_timestamp"))
-    dated.write.mode(mode).partitionBy(*DATE_PARTITIONS, *extra_partitions).json(
-        f"{path}/{DEAD_LETTER_FOLDER}"
-    )
+def write_landing(events: DataFrame, path: str, at: Column | None = None) -> None:
+    """Append envelope rows as compact JSON lines under the *ingestion* date."""
+    ingested = F.current_timestamp() if at is None else at
+    _dated(to_body(events), ingested).write.mode("append").partitionBy(*DATE_PARTITIONS).text(path)
+
+
+def write_dead_letters(rejects: DataFrame, path: str) -> None:
+    """Append (raw_body, error_reason, dlq_timestamp) to the landing's dead-letter folder."""
+    _dated(rejects, F.col("dlq_timestamp")).write.mode("append").partitionBy(
+        *DATE_PARTITIONS
+    ).option("timestampFormat", MICROSECONDS).json(f"{path}/{DEAD_LETTER_FOLDER}")
 
 
 def read_dead_letters(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

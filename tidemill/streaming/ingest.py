@@ -3,27 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.envelope import annotate_envelope, reject_rows, valid_rows
 from tidemill.sources.landing import bronze_from_landing, read_landing, write_dead_letters, write_landing
 
 
-def _land(batch: DataFrame, batch_id: int, landing: str) -> None:
+def _land(batch: DataFrame, landing: str) -> None:
     """Valid rows to the landing, the others to the dead letters.
 
-    Both go under the batch's own folder in overwrite mode, so a batch that is run again
-    replaces its files. (Should midnight fall between the two runs, the copies of the first
-    one stay under the day before and deduplication removes them.)
+    Delivery is at least once: a batch that is run again appends the same events again, with
+    the same ids, and Silver keeps one of each.
     """
-    batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    annotated = annotate_envelope(batch.select("value")).withColumn("batch", F.lit(batch_id))
-    annotated.persist()
+    annotated = annotate_envelope(batch.select("value")).persist()
     try:
-        write_landing(valid_rows(annotated), landing, mode="overwrite", extra_partitions=("batch",))
-        rejects = reject_rows(annotated).withColumn("batch", F.lit(batch_id))
-        write_dead_letters(rejects, landing, mode="overwrite", extra_partitions=("batch",))
+        write_landing(valid_rows(annotated), landing)
+        write_dead_letters(reject_rows(annotated), landing)
     finally:
         annotated.unpersist()
 
@@ -31,7 +26,7 @@ def _land(batch: DataFrame, batch_id: int, landing: str) -> None:
 def stream_to_landing(lines: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
     """Validate a stream of raw lines (column ``value``) into a landing tree."""
     return (
-        lines.writeStream.foreachBatch(lambda batch, batch_id: _land(batch, batch_id, landing))
+        lines.writeStream.foreachBatch(lambda batch, _: _land(batch, landing))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
