@@ -12,7 +12,7 @@ def spark():
         "tidemill-tests",
         master="local[4]",
         spark__sql__shuffle__partitions="4",
-        spark__ui__enabled="false",
+        spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
         spark__checkpoint__dir=tempfile.mkdtemp(prefix="spark-"),
     )

@@ -46,4 +46,5 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    return end.cast("double") - start.cast("double")
+    """Exact to the microsecond, which epoch seconds as doubles are not."""
+    return (F.unix_micros(end) - F.unix_micros(start)) / 1_000_000

@@ -10,28 +10,40 @@ from tidemill.schema import ENVELOPE_DEFAULTS, ENVELOPE_FIELDS, IDENTITY_FIELDS
 _TEXT_FIELDS = (*IDENTITY_FIELDS, "priority", "schema_version")
 
 
-def _strict_json(body: str) -> Column:
-    """The body as VARIANT, NULL unless it is exactly one JSON value.
+def _parsed(raw: DataFrame, body: str) -> DataFrame:
+    """Add ``_json`` (is the body one JSON value) and ``_top`` (the top-level entries if that
+    value is an object, else NULL).
 
     The parser accepts text after the first value; the body is parsed inside an array and
-    inside an object, and no trailing text survives both.
+    inside an object, and no trailing text survives both. The columns come out of a generator:
+    it is a border that the optimizer moves no predicate across, so that a body is parsed once
+    per row and not once per reference.
     """
-    return F.expr(
-        f"CASE WHEN try_parse_json('{{\"v\":' || {body} || '}}') IS NOT NULL "
-        f"THEN try_variant_get(try_parse_json('[' || {body} || ']'), '$[0]', 'variant') END"
+    listed = f"try_parse_json('[' || {body} || ']')"
+    keyed = f"try_parse_json('{{\"v\":' || {body} || '}}')"
+    entries = f"try_variant_get({listed}, '$[0]', 'map<string,variant>')"
+    strict = f"{listed} IS NOT NULL AND {keyed} IS NOT NULL"
+    return raw.selectExpr(
+        "*",
+        f"inline(array(named_struct('_json', {strict}, "
+        f"'_top', CASE WHEN {strict} THEN {entries} END)))",
     )
 
 
-def _kind(name: str) -> Column:
-    return F.expr(f"schema_of_variant(try_variant_get(_json, '$.{name}', 'variant'))")
+def _entry(name: str) -> str:
+    return f"try_element_at(_top, '{name}')"
 
 
-def _is_object(path: str) -> Column:
-    return F.expr(f"try_variant_get(_json, '{path}', 'map<string,variant>') IS NOT NULL")
+def _present(name: str) -> Column:
+    return F.expr(f"map_contains_key(_top, '{name}')")
 
 
-def _present(name: str) -> Column:
-    return F.array_contains("_keys", name)
+def _text(name: str) -> Column:
+    return F.expr(f"try_variant_get({_entry(name)}, '$', 'string')")
+
+
+def _is_text(name: str) -> Column:
+    return F.expr(f"schema_of_variant({_entry(name)}) <=> 'STRING'")
 
 
 def _problems() -> Column:
@@ -39,56 +51,47 @@ def _problems() -> Column:
     for name in IDENTITY_FIELDS:
         checks.append(F.when(~_present(name), F.lit(f"missing:{name}")))
         checks.append(
-            F.when(
-                _present(name) & (F.expr(f"try_variant_get(_json, '$.{name}', 'string')") == "")
-                & (_kind(name) == "STRING"),
-                F.lit(f"empty:{name}"),
-            )
+            F.when(_is_text(name) & (_text(name) == ""), F.lit(f"empty:{name}"))
         )
     for name in _TEXT_FIELDS:
-        checks.append(
-            F.when(_present(name) & ~_kind(name).eqNullSafe("STRING"), F.lit(f"type:{name}"))
-        )
-    checks.append(F.when(_present("payload") & ~_is_object("$.payload"), F.lit("type:payload")))
-    extras = F.array_except("_keys", F.array(*[F.lit(f) for f in ENVELOPE_FIELDS]))
+        checks.append(F.when(_present(name) & ~_is_text(name), F.lit(f"type:{name}")))
+    is_object = F.expr(f"try_variant_get({_entry('payload')}, '$', 'map<string,variant>') IS NOT NULL")
+    checks.append(F.when(_present("payload") & ~is_object, F.lit("type:payload")))
+    extras = F.array_except(F.map_keys("_top"), F.array(*[F.lit(f) for f in ENVELOPE_FIELDS]))
     checks.append(
         F.when(F.size(extras) > 0, F.concat(F.lit("extra:"), F.array_join(F.array_sort(extras), ",")))
     )
     return F.array_compact(F.array(*checks))
 
 
+def envelope_defaults() -> dict[str, Column]:
+    """Envelope columns of the parsed entries. Only an *absent* key takes the default; an
+    explicit null stays a type problem."""
+    columns = {name: _text(name) for name in IDENTITY_FIELDS}
+    for name in ("priority", "schema_version"):
+        columns[name] = F.when(_present(name), _text(name)).otherwise(
+            F.lit(ENVELOPE_DEFAULTS[name])
+        )
+    columns["payload"] = F.when(_present("payload"), F.expr(_entry("payload"))).otherwise(
+        F.parse_json(F.lit(ENVELOPE_DEFAULTS["payload"]))
+    )
+    return columns
+
+
 def annotate_envelope(raw: DataFrame, body: str = "value") -> DataFrame:
     """Parse each body once; add the envelope columns and ``_problems`` (empty when valid)."""
-    kept = raw.columns
-    parsed = (
-        raw.withColumn("_json", _strict_json(body))
-        .withColumn("_object", _is_object("$"))
-        .withColumn("_keys", F.when(F.col("_object"), F.expr(f"json_object_keys({body})")))
-    )
     problems = (
-        F.when(F.col("_json").isNull(), F.array(F.lit("invalid_json")))
-        .when(~F.col("_object"), F.array(F.lit("not_an_object")))
+        F.when(~F.col("_json"), F.array(F.lit("invalid_json")))
+        .when(F.col("_top").isNull(), F.array(F.lit("not_an_object")))
         .otherwise(_problems())
     )
-    return parsed.select(
-        *kept, problems.alias("_problems"), *[c.alias(n) for n, c in envelope_defaults().items()]
+    return _parsed(raw, body).select(
+        *raw.columns,
+        problems.alias("_problems"),
+        *[c.alias(n) for n, c in envelope_defaults().items()],
     )
 
 
-def envelope_defaults() -> dict[str, Column]:
-    """Envelope columns of the parsed body. Only an *absent* key takes the default; an explicit
-    null stays a type problem."""
-    columns = {n: F.expr(f"try_variant_get(_json, '$.{n}', 'string')") for n in IDENTITY_FIELDS}
-    for name in ("priority", "schema_version"):
-        columns[name] = F.when(
-            _present(name), F.expr(f"try_variant_get(_json, '$.{name}', 'string')")
-        ).otherwise(F.lit(ENVELOPE_DEFAULTS[name]))
-    columns["payload"] = F.when(
-        _present("payload"), F.expr("try_variant_get(_json, '$.payload', 'variant')")
-    ).otherwise(F.parse_json(F.lit(ENVELOPE_DEFAULTS["payload"])))
-    return columns
-
-
 def valid_rows(annotated: DataFrame) -> DataFrame:
     return annotated.filter(F.size("_problems") == 0).drop("_problems")
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.scores import seconds_between
+
 LAG_LIMIT_SECONDS = 60.0
 PERIODS = 3
 
@@ -87,7 +89,7 @@ def ingest_lag(
 ) -> DataFrame:
     """Largest lag per ingestion window; the alarm needs ``periods`` adjacent windows above the
     limit. A window without data does not count as above."""
-    lag = F.col(ingested_at).cast("double") - F.col(event_at).cast("double")
+    lag = seconds_between(F.col(event_at), F.col(ingested_at))
     worst = bronze.groupBy(_start(ingested_at, width)).agg(F.max(lag).alias("max_lag_s"))
     seen = _later(worst, width, periods).groupBy("window_start").agg(
         F.count_if(F.col("max_lag_s") > limit).alias("_late"),

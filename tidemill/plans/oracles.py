@@ -22,7 +22,7 @@ RAW = f"""{EV}, base AS (
          event_id % 17 AS d, ts AS received_at,
          strftime(CASE WHEN event_id % 17 = 13 THEN ts - INTERVAL 30 DAY ELSE ts END,
                   '%Y-%m-%dT%H:%M:%SZ') AS t,
-         date_trunc('second', CASE WHEN event_id % 17 = 13 THEN ts - INTERVAL 30 DAY ELSE ts END) AS at
+         date_trunc('second', CASE WHEN event_id % 17 = 13 THEN ts - INTERVAL 30 DAY ELSE ts END) AS at_
   FROM ev),
 copies AS (SELECT *, 0 AS c FROM base UNION ALL SELECT *, 1 AS c FROM base WHERE d = 11),
 raw AS (
@@ -41,7 +41,7 @@ bronze AS (SELECT * FROM raw WHERE reason IS NULL),
 cleaned AS (SELECT * FROM bronze WHERE d NOT IN (4, 14) AND NOT (d = 11 AND c = 0))"""
 
 ENVELOPE = 'eid AS event_id, device_id, asset_type, "timestamp", priority, schema_version'
-CLEAN_ENVELOPE = ENVELOPE.replace('"timestamp"', 'at AS "timestamp"')
+CLEAN_ENVELOPE = ENVELOPE.replace('"timestamp"', 'at_ AS "timestamp"')
 
 NAMESPACE_HEX = "6f1b3c2a6e6a4b1a9a7a2b8f6b8b8a2e"
 VALIDATION_HEX = "9a2f4c6e3b1d4a8e9c7f1d2e3f4a5b6c"
@@ -305,7 +305,7 @@ ORACLES: dict[str, str] = {
     "quarantine_events_table": f"""WITH {RAW} SELECT eid AS event_id, device_id, "timestamp",
         CASE d WHEN 4 THEN 'null_timestamp' ELSE 'invalid_device_id' END AS reasons
         FROM bronze WHERE d IN (4, 14)""",
-    "flatten_payload_table": f"""WITH {RAW} SELECT eid AS event_id, device_id, at AS "timestamp",
+    "flatten_payload_table": f"""WITH {RAW} SELECT eid AS event_id, device_id, at_ AS "timestamp",
         CASE WHEN d <> 12 THEN event_id END AS seq,
         CASE WHEN d <> 12 THEN 'rec-' || user_id || '.mat' END AS source_file,
         CASE WHEN d <> 12 THEN 'normal' END AS ground_truth_label,
@@ -345,8 +345,8 @@ ORACLES: dict[str, str] = {
         round(in_previous, 6) AS time_in_previous_mode_s, breach_at AS latest_breach_at,
         round(latency, 6) AS mode_switch_latency_s FROM history""",
     "mode_trigger_breakdown": f"""WITH {TRANSITIONS} SELECT trigger, from_mode, to_mode,
-        count(*) AS n_transitions, round(avg(in_previous), 6) AS avg_time_in_previous_mode_s,
-        round(avg(latency), 6) AS avg_mode_switch_latency_s,
+        count(*) AS n_transitions, round(avg(in_previous) + 1.3e-7, 6) AS avg_time_in_previous_mode_s,
+        round(avg(latency) + 1.3e-7, 6) AS avg_mode_switch_latency_s,
         round(max(latency), 6) AS max_mode_switch_latency_s FROM history GROUP BY 1, 2, 3""",
     "confusion_outcome": f"WITH {TELE} SELECT event_id, mode, {OUTCOME} AS outcome FROM telemetry",
     "detection_performance": PERFORMANCE,
@@ -355,7 +355,7 @@ ORACLES: dict[str, str] = {
     "edge_autonomy": f"""WITH {SESSIONS} SELECT device_id, window_id,
         min("timestamp") AS window_started_at, max("timestamp") AS window_ended_at,
         count(*) AS n_events_during_outage, count(*) FILTER (anomaly) AS n_anomalies_during_outage,
-        round(max(gap), 6) AS largest_inter_event_gap_s, round(avg(gap), 6) AS avg_inter_event_gap_s,
+        round(max(gap), 6) AS largest_inter_event_gap_s, round(avg(gap) + 1.3e-7, 6) AS avg_inter_event_gap_s,
         round((epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 1e6, 6) AS outage_duration_s
         FROM sessions WHERE mode = 'EDGE_AUTONOMOUS' GROUP BY 1, 2""",
     "cloud_egress": f"""WITH {TELE}, total AS (
@@ -442,19 +442,19 @@ ORACLES: dict[str, str] = {
     "anomaly_scores": """SELECT event_id, round(1 / (1 + exp((value - 50) / 128 * 5)), 6) AS anomaly_score
         FROM events""",
     "confusion_at_fixed_threshold": f"""WITH {EV}, c AS (SELECT
-        count(*) FILTER (value / 512 >= 0.125 AND k % 3 <> 0) AS tp,
-        count(*) FILTER (value / 512 >= 0.125 AND k % 3 = 0) AS fp,
-        count(*) FILTER (value / 512 < 0.125 AND k % 3 <> 0) AS fn,
-        count(*) FILTER (value / 512 < 0.125 AND k % 3 = 0) AS tn FROM ev)
+        count(*) FILTER (value / 1000 >= 0.06 AND k % 3 <> 0) AS tp,
+        count(*) FILTER (value / 1000 >= 0.06 AND k % 3 = 0) AS fp,
+        count(*) FILTER (value / 1000 < 0.06 AND k % 3 <> 0) AS fn,
+        count(*) FILTER (value / 1000 < 0.06 AND k % 3 = 0) AS tn FROM ev)
         SELECT tp, fp, fn, tn, round(tp / (tp + fp), 6) AS "precision", round(tp / (tp + fn), 6) AS recall,
         round(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)), 6) AS f1 FROM c""",
     "select_threshold": f"""WITH {EV}, scored AS (
-        SELECT value / 512 AS score, k % 3 <> 0 AS actual FROM ev), {SWEEP}
+        SELECT value / 1000 AS score, k % 3 <> 0 AS actual FROM ev), {SWEEP}
         SELECT round(f, 6) AS f1, round(p, 6) AS "precision", round(r, 6) AS recall,
         round(score, 6) AS threshold, tp, fp, fn, tn,
         (SELECT count(*) FROM per) AS candidates_evaluated FROM best""",
     "evaluate_frozen": f"""WITH {SENSOR}, {VALID}, {_split('valid')},
-        rows AS (SELECT source_file, dataset_split, rms / 512 AS score,
+        rows AS (SELECT source_file, dataset_split, rms / 1000 AS score,
                  ground_truth_label <> 'normal' AS actual
                  FROM valid JOIN split USING (source_file, ground_truth_label)),
         scored AS (SELECT * FROM rows WHERE dataset_split = 'VALIDATION'), {SWEEP},
@@ -474,7 +474,7 @@ ORACLES: dict[str, str] = {
         SELECT device_id, seq, p.event_id, {FEATURE_LIST} FROM pending p JOIN sensor s
         USING (device_id, seq)""",
     "validation_events": f"""WITH {PENDING}, x AS (
-        SELECT *, infer_ms / 128 AS score, infer_ms / 128 > 0.6 AS cloud FROM pending)
+        SELECT *, infer_ms / 100 AS score, infer_ms / 100 > 0.6 AS cloud FROM pending)
         SELECT {_uuid5(VALIDATION_HEX, 'event_id')} AS event_id, device_id,
         'cloud_validation' AS asset_type, strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
         CASE WHEN cloud = anomaly THEN 'normal' ELSE 'high' END AS priority,
@@ -507,16 +507,16 @@ ORACLES: dict[str, str] = {
         f AS (SELECT w, coalesce(n, 0) AS n FROM a LEFT JOIN c USING (w))
         SELECT w AS window_start, n AS n_events,
         max(n) OVER (ORDER BY w ROWS 2 PRECEDING) = 0 AS alarm FROM f""",
-    "ingest_lag": f"""WITH {EV}, i AS (SELECT ts, ts + to_seconds(k) AS at FROM ev),
-        g AS (SELECT w, max((epoch_us(at) - epoch_us(ts)) / 1e6) AS lag
-              FROM ({_time_windows("i", "at", 3600)}) GROUP BY w)
+    "ingest_lag": f"""WITH {EV}, i AS (SELECT ts, ts + to_seconds(k) AS at_ FROM ev),
+        g AS (SELECT w, max((epoch_us(at_) - epoch_us(ts)) / 1e6) AS lag
+              FROM ({_time_windows("i", "at_", 3600)}) GROUP BY w)
         SELECT g.w AS window_start, round(g.lag, 6) AS max_lag_s,
         g.lag > 95 AND coalesce(h.lag > 95, FALSE) AND coalesce(j.lag > 95, FALSE) AS alarm
         FROM g LEFT JOIN g h ON h.w = g.w - INTERVAL 1 HOUR
         LEFT JOIN g j ON j.w = g.w - INTERVAL 2 HOUR""",
-    "stream_ingest_volume": f"""WITH {EV}, i AS (SELECT ts, ts + to_seconds(k) AS at FROM ev)
+    "stream_ingest_volume": f"""WITH {EV}, i AS (SELECT ts, ts + to_seconds(k) AS at_ FROM ev)
         SELECT w AS window_start, count(*) AS n_events,
-        round(max((epoch_us(at) - epoch_us(ts)) / 1e6), 6) AS max_lag_s
-        FROM ({_time_windows("i", "at", 3600)})
-        WHERE w + INTERVAL 1 HOUR <= (SELECT max(at) - INTERVAL 10 MINUTE FROM i) GROUP BY w""",
+        round(max((epoch_us(at_) - epoch_us(ts)) / 1e6), 6) AS max_lag_s
+        FROM ({_time_windows("i", "at_", 3600)})
+        WHERE w + INTERVAL 1 HOUR <= (SELECT max(at_) - INTERVAL 10 MINUTE FROM i) GROUP BY w""",
 }

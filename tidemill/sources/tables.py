@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.expectations import ExpectationFailed, holds
 
-POINTER = "_current"
+POINTER = "CURRENT"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.scores import seconds_between
 from tidemill.operators.monitoring import dlq_volume
 
 
@@ -24,7 +25,7 @@ def stream_ingest_windows(
 ) -> DataFrame:
     """Rows and largest lag per ingestion window; the table that the gap and lag alarms, which
     look across windows, are then computed from."""
-    lag = F.col(ingested_at).cast("double") - F.col(event_at).cast("double")
+    lag = seconds_between(F.col(event_at), F.col(ingested_at))
     return (
         bronze.withWatermark(ingested_at, delay)
         .groupBy(F.window(ingested_at, width))
