@@ -11,22 +11,28 @@ _TEXT_FIELDS = (*IDENTITY_FIELDS, "priority", "schema_version")
 
 
 def _parsed(raw: DataFrame, body: str) -> DataFrame:
-    """Add ``_json`` (is the body one JSON value) and ``_top`` (the top-level entries if that
-    value is an object, else NULL).
+    """Add ``_top``: the body's top-level entries, NULL unless it starts with one JSON object.
 
-    The parser accepts text after the first value; the body is parsed inside an array and
-    inside an object, and no trailing text survives both. The columns come out of a generator:
-    it is a border that the optimizer moves no predicate across, so that a body is parsed once
-    per row and not once per reference.
+    ``inline`` is a border that the optimizer moves no predicate across, so a body is parsed
+    once per row and not once per reference.
     """
-    listed = f"try_parse_json('[' || {body} || ']')"
-    keyed = f"try_parse_json('{{\"v\":' || {body} || '}}')"
-    entries = f"try_variant_get({listed}, '$[0]', 'map<string,variant>')"
-    strict = f"{listed} IS NOT NULL AND {keyed} IS NOT NULL"
+    wrapped = f"'{{\"_top\":' || {body} || '}}'"
+    strict = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
     return raw.selectExpr(
-        "*",
-        f"inline(array(named_struct('_json', {strict}, "
-        f"'_top', CASE WHEN {strict} THEN {entries} END)))",
+        "*", f"inline(array(from_json({wrapped}, '_top map<string,variant>', {strict})))"
+    )
+
+
+def _one_value(body: str) -> Column:
+    """No text after the value. The parser stops at the end of a value, so the body is also
+    read inside an array: what could close one wrapper early breaks the other."""
+    return F.expr(f"json_array_length('[' || {body} || ']') <=> 1")
+
+
+def _is_json(body: str) -> Column:
+    return F.expr(
+        f"try_parse_json('[' || {body} || ']') IS NOT NULL "
+        f"AND try_parse_json('{{\"v\":' || {body} || '}}') IS NOT NULL"
     )
 
 
@@ -46,21 +52,36 @@ def _is_text(name: str) -> Column:
     return F.expr(f"schema_of_variant({_entry(name)}) <=> 'STRING'")
 
 
+_PAYLOAD_IS_OBJECT = f"try_variant_get({_entry('payload')}, '$', 'struct<>') IS NOT NULL"
+
+
+def _healthy() -> Column:
+    """No problem at all, as one cheap test: the reasons are worked out for other rows only."""
+    good = F.expr(f"NOT map_contains_key(_top, 'payload') OR {_PAYLOAD_IS_OBJECT}")
+    known = F.lit(0)
+    for name in ENVELOPE_FIELDS:
+        known = known + _present(name).cast("int")
+    for name in IDENTITY_FIELDS:
+        good = good & _is_text(name) & (_text(name) != "")
+    for name in ("priority", "schema_version"):
+        good = good & (~_present(name) | _is_text(name))
+    return good & (F.size(F.map_keys("_top")) == known)
+
+
 def _problems() -> Column:
     checks = []
     for name in IDENTITY_FIELDS:
         checks.append(F.when(~_present(name), F.lit(f"missing:{name}")))
-        checks.append(
-            F.when(_is_text(name) & (_text(name) == ""), F.lit(f"empty:{name}"))
-        )
+        checks.append(F.when(_is_text(name) & (_text(name) == ""), F.lit(f"empty:{name}")))
     for name in _TEXT_FIELDS:
         checks.append(F.when(_present(name) & ~_is_text(name), F.lit(f"type:{name}")))
-    is_object = F.expr(f"try_variant_get({_entry('payload')}, '$', 'map<string,variant>') IS NOT NULL")
-    checks.append(F.when(_present("payload") & ~is_object, F.lit("type:payload")))
-    extras = F.array_except(F.map_keys("_top"), F.array(*[F.lit(f) for f in ENVELOPE_FIELDS]))
+    checks.append(F.when(_present("payload") & ~F.expr(_PAYLOAD_IS_OBJECT), F.lit("type:payload")))
+    keys = F.map_keys("_top")
+    extras = F.array_sort(F.array_except(keys, F.array(*[F.lit(f) for f in ENVELOPE_FIELDS])))
     checks.append(
-        F.when(F.size(extras) > 0, F.concat(F.lit("extra:"), F.array_join(F.array_sort(extras), ",")))
+        F.when(F.size(extras) > 0, F.concat(F.lit("extra:"), F.array_join(extras, ",")))
     )
+    checks.append(F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.lit("repeated_key")))
     return F.array_compact(F.array(*checks))
 
 
@@ -79,26 +100,28 @@ def envelope_defaults() -> dict[str, Column]:
 
 
 def annotate_envelope(raw: DataFrame, body: str = "value") -> DataFrame:
-    """Parse each body once; add the envelope columns and ``_problems`` (empty when valid)."""
+    """Parse each body once; add ``_valid``, ``_problems`` and the envelope columns."""
+    readable = F.col("_top").isNotNull() & _one_value(body)
     problems = (
-        F.when(~F.col("_json"), F.array(F.lit("invalid_json")))
-        .when(F.col("_top").isNull(), F.array(F.lit("not_an_object")))
-        .otherwise(_problems())
+        F.when(readable, _problems())
+        .when(_is_json(body), F.array(F.lit("not_an_object")))
+        .otherwise(F.array(F.lit("invalid_json")))
     )
     return _parsed(raw, body).select(
         *raw.columns,
+        F.coalesce(readable & _healthy(), F.lit(False)).alias("_valid"),
         problems.alias("_problems"),
         *[c.alias(n) for n, c in envelope_defaults().items()],
     )
 
 
 def valid_rows(annotated: DataFrame) -> DataFrame:
-    return annotated.filter(F.size("_problems") == 0).drop("_problems")
+    return annotated.filter("_valid").drop("_valid", "_problems")
 
 
 def reject_rows(annotated: DataFrame, body: str = "value", at: Column | None = None) -> DataFrame:
     """Dead-letter records: raw body, reason text, time."""
-    return annotated.filter(F.size("_problems") > 0).select(
+    return annotated.filter("NOT _valid").select(
         F.col(body).alias("raw_body"),
         F.array_join("_problems", ";").alias("error_reason"),
         (F.current_timestamp() if at is None else at).alias("dlq_timestamp"),

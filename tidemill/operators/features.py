@@ -189,8 +189,9 @@ def bearing_ml_features(
 ) -> DataFrame:
     """One row per valid sensor window. Publish with ``FEATURE_EXPECTATIONS``."""
     valid = feature_validity(sensor).filter("is_valid").drop("missing_columns", "is_valid")
-    split = broadcast_split(valid, assign_recording_split(valid, max_rows))
-    out = training_eligibility(trend_features(split, run_column, max_rows)).select(
+    recordings = assign_recording_split(valid, max_rows)
+    split = broadcast_split(trend_features(valid, run_column, max_rows), recordings)
+    out = training_eligibility(split).select(
         *FEATURE_TABLE_COLUMNS,
         F.lit(FEATURE_SET_VERSION).alias("feature_set_version"),
         F.current_timestamp().alias("generated_at"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.scores import ratio_or_zero
 from tidemill.operators.ordered import MAX_ROWS_PER_TASK, OrderedRuns
+from tidemill.session import stable
 
 
 def _rates(counted: DataFrame) -> DataFrame:
@@ -52,21 +53,24 @@ def threshold_candidates(
     down then gives all confusions in O(n log n), in range-partitioned chunks when there are
     more distinct scores than one task should hold.
     """
-    per_score = (
+    # The counts are read for the totals and for the sweep; the scores behind them, which may
+    # come from a model, are computed once.
+    per_score = stable(
         df.groupBy(F.col(score).alias("threshold"))
         .agg(F.count_if(F.col(actual)).alias("_pos"), F.count_if(~F.col(actual)).alias("_neg"))
         .filter(F.col("threshold").isNotNull())
         .withColumn("_down", -F.col("threshold"))
     )
-    totals = per_score.agg(F.sum("_pos").alias("p"), F.sum("_neg").alias("n"))
+    totals = per_score.agg(F.struct(F.sum("_pos").alias("p"), F.sum("_neg").alias("n")).alias("t"))
     swept = (
         OrderedRuns.of(per_score, [], ["_down"], max_rows)
         .running(tp=("sum", F.col("_pos")), fp=("sum", F.col("_neg")))
         .rows()
     )
     return _rates(
-        swept.withColumn("fn", totals.select("p").scalar() - F.col("tp"))
-        .withColumn("tn", totals.select("n").scalar() - F.col("fp"))
+        swept.withColumn("_all", totals.scalar())
+        .withColumn("fn", F.col("_all.p") - F.col("tp"))
+        .withColumn("tn", F.col("_all.n") - F.col("fp"))
         .select("threshold", "tp", "fp", "fn", "tn")
     )
 

@@ -41,9 +41,10 @@ def parse_tracker_packets(
         (F.lit(None).cast("string") if received_at is None else received_at).alias("_received"),
     ).filter((F.col("packet") != "") & ~F.col("packet").rlike(KEEPALIVE_PATTERN))
 
-    part = F.split("packet", ",")
-    fields = packets.withColumn("_ok", F.col("packet").rlike(POSITION_PATTERN)).withColumn(
-        "_p", F.when(F.col("_ok"), part)
+    # ``explode`` of one array keeps the optimizer from splitting again for every field.
+    parts = F.when(F.col("packet").rlike(POSITION_PATTERN), F.split("packet", ","))
+    fields = packets.select("*", F.explode(F.array(parts)).alias("_p")).withColumn(
+        "_ok", F.col("_p").isNotNull()
     )
     p = lambda i: F.get("_p", F.lit(i))
     clock = F.try_to_timestamp(F.concat(p(3), p(4)), F.lit("yyMMddHHmmss"))

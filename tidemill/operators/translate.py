@@ -18,8 +18,17 @@ SCHEMA_VERSION = "1.0.0"
 
 
 def parse_records(lines: DataFrame, body: str = "value") -> DataFrame:
-    """Text lines to the VARIANT column the translations read (NULL when not JSON)."""
-    return lines.select(F.col(body).alias("raw_body"), F.try_parse_json(F.col(body)).alias("raw"))
+    """Text lines to the VARIANT column the translations read (NULL when not JSON).
+
+    ``inline`` keeps the optimizer from copying the parsing into every field lookup.
+    """
+    strict = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+    parsed = lines.selectExpr(
+        f"{body} AS raw_body",
+        f"inline(array(from_json('{{\"_raw\":' || {body} || '}}', '_raw variant', {strict})))",
+    )
+    whole = F.expr("json_array_length('[' || raw_body || ']') <=> 1")
+    return parsed.select("raw_body", F.when(whole, F.col("_raw")).alias("raw"))
 
 
 def field(name: str, spark_type: str = "string") -> Column:

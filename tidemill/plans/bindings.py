@@ -104,6 +104,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return apply_semantics(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table with fewer files than cores out to all cores, before work that
+    is heavy per row. A large table has files enough and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with ``timestamp`` as an instant and ``k`` read from the properties."""
     return (
@@ -165,7 +172,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 17th event is sent a second time, later and from another file.
     """
-    base = events(spark, sf_dir).select(
+    base = spread(events(spark, sf_dir)).select(
         "event_id",
         "user_id",
         "event_type",

@@ -41,7 +41,7 @@ from tidemill.operators.translate import (
 from tidemill.plans import bindings as b
 from tidemill.plans.lifecycle import evaluate_scored, validation_reader
 from tidemill.schema import BRIDGE_NAMESPACE
-from tidemill.session import scratch_path
+from tidemill.session import scratch_path, stable
 from tidemill.sources.landing import (
     bronze_from_landing,
     read_dead_letters,
@@ -202,7 +202,7 @@ def deterministic_event_ids(spark, sf_dir):
 
 def _records(spark, sf_dir):
     """Raw records as JSON text; every eleventh lacks the field named by its translation."""
-    e = b.events(spark, sf_dir).withColumn("lacking", F.expr("event_id % 11 = 0"))
+    e = b.spread(b.events(spark, sf_dir)).withColumn("lacking", F.expr("event_id % 11 = 0"))
     t = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     device = F.concat(F.lit("dev-"), "user_id")
     record = F.struct(
@@ -291,7 +291,7 @@ def _run_stream(df, root):
 
 def _packets(spark, sf_dir):
     """Tracker lines: positions, keep-alives, logins, blanks, junk and broken numbers."""
-    e = b.events(spark, sf_dir)
+    e = b.spread(b.events(spark, sf_dir))
     position = F.concat(
         F.lit("$$76,8652800"), F.lpad(F.col("user_id").cast("string"), 8, "0"), F.lit(",AAA,"),
         F.date_format("timestamp", "yyMMdd,HHmmss"), F.lit(","),
@@ -383,7 +383,8 @@ def flatten_payload_table(spark, sf_dir):
 @query
 def flatten_all_types(spark, sf_dir):
     """Every flattened table, each row with the number of filled payload columns."""
-    tables = fan_out_assets(clean_events(b.bronze(spark, sf_dir)), discover_asset_configs())
+    cleaned = stable(clean_events(b.bronze(spark, sf_dir)))
+    tables = fan_out_assets(cleaned, discover_asset_configs())
     out = None
     for name, df in tables.items():
         filled = [F.col(c).isNotNull().cast("bigint") for c in df.columns[len(ENVELOPE_TEXT):]]
@@ -397,8 +398,8 @@ def flatten_all_types(spark, sf_dir):
 
 @query
 def layer_reconciliation(spark, sf_dir):
-    bronze = b.bronze(spark, sf_dir)
-    cleaned = clean_events(bronze)
+    bronze = stable(b.bronze(spark, sf_dir))
+    cleaned = stable(clean_events(bronze))
     return monitoring.layer_reconciliation(
         {
             "bronze": bronze,
@@ -568,7 +569,7 @@ def time_domain_features(spark, sf_dir):
 
 @query
 def waveform_features(spark, sf_dir):
-    return signal.waveform_features(b.table(spark, sf_dir, "embeddings"), "embedding").drop(
+    return signal.waveform_features(b.spread(b.table(spark, sf_dir, "embeddings")), "embedding").drop(
         "embedding"
     )
 
@@ -640,7 +641,7 @@ def recording_summary(spark, sf_dir):
 
 @query
 def isolation_forest_scores(spark, sf_dir):
-    rows = signal.waveform_features(b.table(spark, sf_dir, "embeddings"), "embedding")
+    rows = signal.waveform_features(b.spread(b.table(spark, sf_dir, "embeddings")), "embedding")
     grown = forest.fit_isolation_forest(rows.filter("label = 0"), key="vec_id")
     raw = forest.score_isolation_forest(grown)
     return rows.select("vec_id", "label", raw.alias("decision")).withColumn(
@@ -676,7 +677,7 @@ def select_threshold(spark, sf_dir):
 def _feature_rows(spark, sf_dir):
     """The feature table with a given score, so that the readers can be checked exactly."""
     rows = features.bearing_ml_features(b.sensor(spark, sf_dir))
-    return rows.withColumn("anomaly_score", F.col("rms") / 1000)
+    return stable(rows.withColumn("anomaly_score", F.col("rms") / 1000))
 
 
 @query
