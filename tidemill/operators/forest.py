@@ -134,10 +134,13 @@ def fit_isolation_forest(
         )
 
     samples = _tree_samples(usable, features, key, n, n_trees, psi, seed)
-    samples = samples.withColumn("tree", F.col("tree").cast("int"))
-    nodes = stable(
-        samples.select("tree", "_r", *features).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    # An explicit number of partitions: the samples are small, and merging them would grow all
+    # trees in one task.
+    tasks = min(n_trees, train.sparkSession.sparkContext.defaultParallelism)
+    dealt = samples.select(F.col("tree").cast("int").alias("tree"), "_r", *features).repartition(
+        tasks, "tree"
     )
+    nodes = stable(dealt.groupBy("tree").applyInPandas(grow, NODE_SCHEMA))
     forest = Forest(nodes, features, psi, -0.5)
     if contamination == "auto":
         return forest

@@ -35,7 +35,7 @@ def parse_tracker_packets(
     it such a packet is rejected. The id derives from the packet, so that a repeated packet
     is removed as a duplicate.
     """
-    text = F.regexp_replace(F.col(body), r"^\s+|\s+$", "")
+    text = F.btrim(F.col(body), F.lit(" \t\n\r\f\v"))
     packets = lines.select(
         text.alias("packet"),
         (F.lit(None).cast("string") if received_at is None else received_at).alias("_received"),

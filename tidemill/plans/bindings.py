@@ -113,10 +113,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with ``timestamp`` as an instant and ``k`` read from the properties."""
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("timestamp", F.col("ts").cast("timestamp"))
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "*", "CAST(ts AS TIMESTAMP) AS timestamp", "inline(array(from_json(props, 'k int')))"
     )
 
 
@@ -172,7 +170,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 17th event is sent a second time, later and from another file.
     """
-    base = spread(events(spark, sf_dir)).select(
+    base = events(spark, sf_dir).select(
         "event_id",
         "user_id",
         "event_type",
@@ -189,12 +187,13 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_copy", F.explode(F.when(F.col("d") == 11, F.array(F.lit(0), F.lit(1))).otherwise(
             F.array(F.lit(0))))
     )
-    return copies.select(
+    lines = copies.select(
         F.expr(BODY).alias("value"),
         F.concat(F.lit("file-"), "_copy").alias("_source_file"),
         F.expr("_at + make_interval(0, 0, 0, 0, _copy, 0, k)").alias("_ingested_at"),
         F.col("_at").alias("received_at"),
     )
+    return spread(lines)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

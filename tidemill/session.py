@@ -56,8 +56,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so that later plans read one fixed copy of it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared folder and read that: later plans see one fixed
+    copy, with its lineage cut, and columnar scans of it. (``checkpoint`` would compute the
+    rows twice, once to count and once to write.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stable")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
