@@ -23,6 +23,7 @@ NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, size int, depth int"
 )
 DEFAULT_SAMPLES = 256
+MAX_TREE_ROWS = 1_000_000
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -122,6 +123,11 @@ def fit_isolation_forest(
         psi = max(2, min(n, int(max_samples * n)))
     else:
         psi = min(int(max_samples), n)
+    if psi > MAX_TREE_ROWS:
+        raise ValueError(
+            f"max_samples={max_samples} means {psi} rows in one tree; a tree is grown in one task "
+            f"and takes up to {MAX_TREE_ROWS}"
+        )
     height = math.ceil(math.log2(max(psi, 2)))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:

@@ -52,13 +52,18 @@ def ingest_gaps(
     one aggregation over the window table instead of an ordered pass in a single task.
     """
     counts = events.groupBy(_start(at, width)).agg(F.count(F.lit(1)).alias("n_events"))
-    step = F.expr(f"INTERVAL {_seconds(width)} SECONDS")
+    step = _seconds(width)
     bounds = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
-    every = bounds.filter("lo IS NOT NULL").select(
-        F.explode(F.sequence("lo", "hi", step)).alias("window_start"),
-        F.lit(0).cast("long").alias("n_events"),
-        F.lit(False).alias("_live"),
-        F.lit(True).alias("_own"),
+    # Two steps, so that no row ever holds all windows of a long time range.
+    blocks = bounds.filter("lo IS NOT NULL").selectExpr(
+        "hi", f"explode(sequence(lo, hi, make_interval(0, 0, 0, 0, 0, 0, {step * 256}))) AS b"
+    )
+    every = blocks.selectExpr(
+        f"explode(sequence(b, least(hi, b + make_interval(0, 0, 0, 0, 0, 0, {step * 255})), "
+        f"make_interval(0, 0, 0, 0, 0, 0, {step}))) AS window_start",
+        "0L AS n_events",
+        "false AS _live",
+        "true AS _own",
     )
     live = _later(counts, width, periods).select(
         "window_start",

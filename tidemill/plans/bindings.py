@@ -111,11 +111,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events with ``timestamp`` as an instant and ``k`` read from the properties."""
-    return table(spark, sf_dir, "events").selectExpr(
-        "*", "CAST(ts AS TIMESTAMP) AS timestamp", "inline(array(from_json(props, 'k int')))"
-    )
+def events(spark: SparkSession, sf_dir: str, often: bool = False) -> DataFrame:
+    """The events with ``timestamp`` as an instant and ``k`` read from the properties.
+
+    ``often``: many columns depend on ``k``, so it is read once per row behind ``inline``.
+    Otherwise it stays an expression, which column pruning can drop.
+    """
+    k = "inline(array(from_json(props, 'k int')))" if often else "from_json(props, 'k int').k AS k"
+    return table(spark, sf_dir, "events").selectExpr("*", "CAST(ts AS TIMESTAMP) AS timestamp", k)
 
 
 def _bound(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -127,7 +130,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bound(events(spark, sf_dir), SENSOR)
+    return _bound(events(spark, sf_dir, often=True), SENSOR)
 
 
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +173,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 17th event is sent a second time, later and from another file.
     """
-    base = events(spark, sf_dir).select(
+    base = events(spark, sf_dir, often=True).select(
         "event_id",
         "user_id",
         "event_type",
