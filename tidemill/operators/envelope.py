@@ -23,16 +23,20 @@ def _parsed(raw: DataFrame, body: str) -> DataFrame:
     )
 
 
-def _one_value(body: str) -> Column:
+# The tests below are SQL text, put together and parsed once: the plan of a short job is then
+# not dominated by building it column by column.
+
+
+def _one_value(body: str) -> str:
     """No text after the value. The parser stops at the end of a value, so the body is also
     read inside an array: what could close one wrapper early breaks the other."""
-    return F.expr(f"json_array_length('[' || {body} || ']') <=> 1")
+    return f"(json_array_length('[' || {body} || ']') <=> 1)"
 
 
-def _is_json(body: str) -> Column:
-    return F.expr(
-        f"try_parse_json('[' || {body} || ']') IS NOT NULL "
-        f"AND try_parse_json('{{\"v\":' || {body} || '}}') IS NOT NULL"
+def _is_json(body: str) -> str:
+    return (
+        f"(try_parse_json('[' || {body} || ']') IS NOT NULL "
+        f"AND try_parse_json('{{\"v\":' || {body} || '}}') IS NOT NULL)"
     )
 
 
@@ -40,78 +44,69 @@ def _entry(name: str) -> str:
     return f"try_element_at(_top, '{name}')"
 
 
-def _present(name: str) -> Column:
-    return F.expr(f"map_contains_key(_top, '{name}')")
+def _present(name: str) -> str:
+    return f"map_contains_key(_top, '{name}')"
 
 
-def _text(name: str) -> Column:
-    return F.expr(f"try_variant_get({_entry(name)}, '$', 'string')")
+def _text(name: str) -> str:
+    return f"try_variant_get({_entry(name)}, '$', 'string')"
 
 
-def _is_text(name: str) -> Column:
-    return F.expr(f"schema_of_variant({_entry(name)}) <=> 'STRING'")
+def _is_text(name: str) -> str:
+    return f"(schema_of_variant({_entry(name)}) <=> 'STRING')"
 
 
-_PAYLOAD_IS_OBJECT = f"try_variant_get({_entry('payload')}, '$', 'struct<>') IS NOT NULL"
+_PAYLOAD_IS_OBJECT = f"(try_variant_get({_entry('payload')}, '$', 'struct<>') IS NOT NULL)"
 
 
-def _healthy() -> Column:
+def _healthy() -> str:
     """No problem at all, as one cheap test: the reasons are worked out for other rows only."""
-    good = F.expr(f"NOT map_contains_key(_top, 'payload') OR {_PAYLOAD_IS_OBJECT}")
-    known = F.lit(0)
-    for name in ENVELOPE_FIELDS:
-        known = known + _present(name).cast("int")
-    for name in IDENTITY_FIELDS:
-        good = good & _is_text(name) & (_text(name) != "")
-    for name in ("priority", "schema_version"):
-        good = good & (~_present(name) | _is_text(name))
-    return good & (F.size(F.map_keys("_top")) == known)
+    known = " + ".join(f"CAST({_present(name)} AS INT)" for name in ENVELOPE_FIELDS)
+    tests = [f"{_is_text(n)} AND {_text(n)} <> ''" for n in IDENTITY_FIELDS]
+    tests += [f"(NOT {_present(n)} OR {_is_text(n)})" for n in ("priority", "schema_version")]
+    tests += [f"(NOT {_present('payload')} OR {_PAYLOAD_IS_OBJECT})", f"size(_top) = {known}"]
+    return f"coalesce({' AND '.join(tests)}, false)"
 
 
-def _problems() -> Column:
+def _problems() -> str:
     checks = []
     for name in IDENTITY_FIELDS:
-        checks.append(F.when(~_present(name), F.lit(f"missing:{name}")))
-        checks.append(F.when(_is_text(name) & (_text(name) == ""), F.lit(f"empty:{name}")))
+        checks.append((f"NOT {_present(name)}", f"'missing:{name}'"))
+        checks.append((f"{_is_text(name)} AND {_text(name)} = ''", f"'empty:{name}'"))
     for name in _TEXT_FIELDS:
-        checks.append(F.when(_present(name) & ~_is_text(name), F.lit(f"type:{name}")))
-    checks.append(F.when(_present("payload") & ~F.expr(_PAYLOAD_IS_OBJECT), F.lit("type:payload")))
-    keys = F.map_keys("_top")
-    extras = F.array_sort(F.array_except(keys, F.array(*[F.lit(f) for f in ENVELOPE_FIELDS])))
-    checks.append(
-        F.when(F.size(extras) > 0, F.concat(F.lit("extra:"), F.array_join(extras, ",")))
-    )
-    checks.append(F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.lit("repeated_key")))
-    return F.array_compact(F.array(*checks))
+        checks.append((f"{_present(name)} AND NOT {_is_text(name)}", f"'type:{name}'"))
+    checks.append((f"{_present('payload')} AND NOT {_PAYLOAD_IS_OBJECT}", "'type:payload'"))
+    known = ", ".join(f"'{name}'" for name in ENVELOPE_FIELDS)
+    extras = f"array_sort(array_except(map_keys(_top), array({known})))"
+    checks.append((f"size({extras}) > 0", f"'extra:' || array_join({extras}, ',')"))
+    checks.append(("size(array_distinct(map_keys(_top))) < size(_top)", "'repeated_key'"))
+    listed = ", ".join(f"CASE WHEN {test} THEN {reason} END" for test, reason in checks)
+    return f"array_compact(array({listed}))"
 
 
-def envelope_defaults() -> dict[str, Column]:
+def envelope_defaults() -> dict[str, str]:
     """Envelope columns of the parsed entries. Only an *absent* key takes the default; an
     explicit null stays a type problem."""
     columns = {name: _text(name) for name in IDENTITY_FIELDS}
     for name in ("priority", "schema_version"):
-        columns[name] = F.when(_present(name), _text(name)).otherwise(
-            F.lit(ENVELOPE_DEFAULTS[name])
-        )
-    columns["payload"] = F.when(_present("payload"), F.expr(_entry("payload"))).otherwise(
-        F.parse_json(F.lit(ENVELOPE_DEFAULTS["payload"]))
+        default = ENVELOPE_DEFAULTS[name]
+        columns[name] = f"CASE WHEN {_present(name)} THEN {_text(name)} ELSE '{default}' END"
+    columns["payload"] = (
+        f"CASE WHEN {_present('payload')} THEN {_entry('payload')} "
+        f"ELSE parse_json('{ENVELOPE_DEFAULTS['payload']}') END"
     )
     return columns
 
 
 def annotate_envelope(raw: DataFrame, body: str = "value") -> DataFrame:
     """Parse each body once; add ``_valid``, ``_problems`` and the envelope columns."""
-    readable = F.col("_top").isNotNull() & _one_value(body)
-    problems = (
-        F.when(readable, _problems())
-        .when(_is_json(body), F.array(F.lit("not_an_object")))
-        .otherwise(F.array(F.lit("invalid_json")))
-    )
-    return _parsed(raw, body).select(
+    readable = f"(_top IS NOT NULL AND {_one_value(body)})"
+    return _parsed(raw, body).selectExpr(
         *raw.columns,
-        F.coalesce(readable & _healthy(), F.lit(False)).alias("_valid"),
-        problems.alias("_problems"),
-        *[c.alias(n) for n, c in envelope_defaults().items()],
+        f"{readable} AND {_healthy()} AS _valid",
+        f"CASE WHEN {readable} THEN {_problems()} WHEN {_is_json(body)} THEN "
+        "array('not_an_object') ELSE array('invalid_json') END AS _problems",
+        *[f"{c} AS {n}" for n, c in envelope_defaults().items()],
     )
 
 

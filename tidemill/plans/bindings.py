@@ -173,7 +173,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 17th event is sent a second time, later and from another file.
     """
-    base = events(spark, sf_dir, often=True).select(
+    base = spread(events(spark, sf_dir, often=True)).select(
         "event_id",
         "user_id",
         "event_type",
@@ -186,17 +186,18 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "t", F.expr("date_format(CASE WHEN d = 13 THEN _at - INTERVAL 30 DAYS ELSE _at END, "
                     "\"yyyy-MM-dd'T'HH:mm:ss'Z'\")"),
     )
-    copies = timed.withColumn(
+    # ``explode`` of one text keeps it from being put together again at every later use.
+    texts = timed.select("*", F.explode(F.array(F.expr(BODY))).alias("value"))
+    copies = texts.withColumn(
         "_copy", F.explode(F.when(F.col("d") == 11, F.array(F.lit(0), F.lit(1))).otherwise(
             F.array(F.lit(0))))
     )
-    lines = copies.select(
-        F.expr(BODY).alias("value"),
+    return copies.select(
+        "value",
         F.concat(F.lit("file-"), "_copy").alias("_source_file"),
         F.expr("_at + make_interval(0, 0, 0, 0, _copy, 0, k)").alias("_ingested_at"),
         F.col("_at").alias("received_at"),
     )
-    return spread(lines)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

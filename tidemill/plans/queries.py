@@ -202,7 +202,7 @@ def deterministic_event_ids(spark, sf_dir):
 
 def _records(spark, sf_dir):
     """Raw records as JSON text; every eleventh lacks the field named by its translation."""
-    e = b.events(spark, sf_dir, often=True).withColumn("lacking", F.expr("event_id % 11 = 0"))
+    e = b.spread(b.events(spark, sf_dir, often=True)).withColumn("lacking", F.expr("event_id % 11 = 0"))
     t = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     device = F.concat(F.lit("dev-"), "user_id")
     record = F.struct(
@@ -217,7 +217,7 @@ def _records(spark, sf_dir):
         (F.col("k") >= 80).alias("breach"),
         F.col("k").alias("rtt_ms"),
     )
-    return parse_records(b.spread(e.select(F.to_json(record).alias("value"))))
+    return parse_records(e.select(F.explode(F.array(F.to_json(record))).alias("value")))
 
 
 def _translated(rows, path, spark_type):
@@ -291,7 +291,7 @@ def _run_stream(df, root):
 
 def _packets(spark, sf_dir):
     """Tracker lines: positions, keep-alives, logins, blanks, junk and broken numbers."""
-    e = b.events(spark, sf_dir, often=True)
+    e = b.spread(b.events(spark, sf_dir, often=True))
     position = F.concat(
         F.lit("$$76,8652800"), F.lpad(F.col("user_id").cast("string"), 8, "0"), F.lit(",AAA,"),
         F.date_format("timestamp", "yyMMdd,HHmmss"), F.lit(","),
@@ -311,7 +311,7 @@ def _packets(spark, sf_dir):
         .when(d == 5, F.concat(F.lit("  "), position, F.lit("\r")))
         .otherwise(position)
     )
-    return b.spread(e.select(line.alias("value")))
+    return e.select(F.explode(F.array(line)).alias("value"))
 
 
 @query
