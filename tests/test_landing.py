@@ -112,3 +112,25 @@ def test_expectation_actions(spark):
     assert expect(df, {"p": "x > 0"}, "warn").count() == 3
     with pytest.raises(ExpectationFailed, match="p: 2 of 3"):
         expect(df, {"p": "x > 0"}, "fail")
+
+
+def test_monitor_streams_equal_the_batch(spark, tmp_path):
+    from tidemill.operators.monitoring import dlq_volume
+    from tidemill.streaming.monitors import stream_dlq_volume, stream_ingest_windows
+
+    rows = spark.range(0, 200).selectExpr(
+        "timestamp_seconds(id * 37) AS at", "timestamp_seconds(id * 37 - id % 90) AS seen")
+    rows.write.parquet(str(tmp_path / "in"))
+
+    def run(df, name):
+        df.writeStream.format("parquet").option("path", str(tmp_path / name)).option(
+            "checkpointLocation", str(tmp_path / f"{name}-c")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(spark.read.schema(df.schema).parquet(str(tmp_path / name)).collect())
+
+    source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    closed = sorted(r for r in dlq_volume(rows, "at").collect()
+                    if r["window_start"].timestamp() + 300 <= 199 * 37 - 600)
+    assert run(stream_dlq_volume(source, "at"), "dlq") == closed and len(closed) > 15
+    windows = run(stream_ingest_windows(source, "seen", "at"), "ingest")
+    assert [r["n_events"] for r in windows] == [r["n_rejects"] for r in closed]
+    assert max(r["max_lag_s"] for r in windows) <= 89

@@ -59,3 +59,16 @@ def test_running_last_after_frame(rows, keys):
 
     left, right = both(rows, keys, work)
     assert left == right and len(left) == 600
+
+
+def test_many_hot_keys(rows, monkeypatch):
+    """With more hot keys than may be listed, all rows are cut into chunks."""
+    from tidemill.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 1)
+    left, right = both(
+        rows,
+        ["k"],
+        lambda r: r.frame(2, a=lambda w: F.lag("id", 2).over(w)).running(b=("max", F.col("x"))),
+    )
+    assert left == right and len(left) == 600
