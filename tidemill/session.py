@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +31,30 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
 
 
 def apply_semantics(spark: SparkSession) -> SparkSession:
-    """Pin the settings the operators' results depend on in a session made elsewhere."""
+    """Prepare a session made elsewhere: pin the settings the results depend on and give the
+    Python workers this package."""
     for key, value in SEMANTIC_CONF.items():
         spark.conf.set(key, value)
+    return ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send the package to the executors (once per application), for the functions that run in
+    Python workers."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        target = f"{tempfile.mkdtemp(prefix='spark-')}/{package.name}"
+        archive = shutil.make_archive(target, "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
     return spark
 
 
