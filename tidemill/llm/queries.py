@@ -7,18 +7,50 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import mixing, pii, secrets
+from tidemill.llm import chat, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity
 from tidemill.llm.common import table
 from tidemill.session import apply_semantics
 
 PII_KEY = "change-me-in-production"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return toxicity.document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    rendered = chat.rotate(table(spark, sf_dir, "conversations"))
+    return rendered.withColumn("mask", chat.written(F.col("mask")))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_semantics(spark)
     return secrets.document_findings(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return outliers.filter_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_semantics(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +62,18 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *map(number, pii.PATTERNS), "text")
 
 
+def tokenizer() -> tuple[str, str]:
+    """The ranks of the byte-level vocabulary and the pattern that parts texts into words."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer())
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_semantics(spark)
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -37,12 +81,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_secret_scans": op3_secret_scans,
-    "op8_pii_surrogates": op8_pii_surrogates,
-    "op10_mixing": op10_mixing,
+    f.__name__: f for f in (
+        op1_toxicity, op2_chat_perspectives, op3_secret_scans, op4_nearest_neighbours, op5_suffix_dedup,
+        op6_minhash_dedup, op7_quality_outliers, op8_pii_surrogates, op9_packing, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {
+    "op2_chat_perspectives": chat.oracle(),
     "op3_secret_scans": secrets.oracle(),
     "op10_mixing": mixing.oracle(),
 }
