@@ -48,3 +48,14 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Exact to the microsecond, which epoch seconds as doubles are not."""
     return (F.unix_micros(end) - F.unix_micros(start)) / 1_000_000
+
+
+def mean_seconds(seconds: Column) -> Column:
+    """Average of spans of time in seconds, exact to the microsecond, halves up.
+
+    Whole microseconds are added and divided as integers: no order of addition and no engine's
+    rounding of doubles shows in the result."""
+    micros = F.round(seconds * 1_000_000).cast("long")
+    n = F.count(micros)
+    doubled, parts = F.sum(micros) * 2 + n, n * 2
+    return F.when(n > 0, (doubled - F.pmod(doubled, parts)) / F.nullif(parts, F.lit(0)) / 1_000_000)

@@ -9,6 +9,7 @@ from tidemill.functions.scores import (
     bucket_confidence,
     confusion_outcome,
     is_actual_anomaly,
+    mean_seconds,
     ratio,
     seconds_between,
 )
@@ -134,8 +135,8 @@ def mode_trigger_breakdown(history: DataFrame) -> DataFrame:
     """Transitions per trigger and mode pair."""
     return history.groupBy("trigger", "from_mode", "to_mode").agg(
         F.count(F.lit(1)).alias("n_transitions"),
-        F.avg("time_in_previous_mode_s").alias("avg_time_in_previous_mode_s"),
-        F.avg("mode_switch_latency_s").alias("avg_mode_switch_latency_s"),
+        mean_seconds(F.col("time_in_previous_mode_s")).alias("avg_time_in_previous_mode_s"),
+        mean_seconds(F.col("mode_switch_latency_s")).alias("avg_mode_switch_latency_s"),
         F.max("mode_switch_latency_s").alias("max_mode_switch_latency_s"),
     )
 
@@ -225,7 +226,7 @@ def edge_autonomy(
             F.count(F.lit(1)).alias("n_events_during_outage"),
             F.count_if("anomaly").alias("n_anomalies_during_outage"),
             F.max("gap_s").alias("largest_inter_event_gap_s"),
-            F.avg("gap_s").alias("avg_inter_event_gap_s"),
+            mean_seconds(F.col("gap_s")).alias("avg_inter_event_gap_s"),
         )
         .withColumn(
             "outage_duration_s",

@@ -50,9 +50,14 @@ from tidemill.sources.landing import (
     write_landing,
 )
 from tidemill.sources.tables import compact_table, read_current, read_table, write_gold
-from tidemill.streaming.heartbeat import stream_heartbeat_downsample
+from tidemill.streaming.heartbeat import read_heartbeats, stream_heartbeat_downsample
 from tidemill.streaming.ingest import stream_ingest, stream_to_landing
-from tidemill.streaming.monitors import stream_dlq_volume, stream_ingest_windows
+from tidemill.streaming.monitors import (
+    read_dlq_volume,
+    read_ingest_windows,
+    stream_dlq_volume,
+    stream_ingest_windows,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,11 +91,6 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _settled(df: DataFrame, *averages: str) -> DataFrame:
-    """Move averages of microseconds off exact halves, where rounding differs by engine."""
-    return df.withColumns({c: F.col(c) + 1.3e-7 for c in averages})
-
-
 # -- landing ------------------------------------------------------------------
 
 
@@ -274,19 +274,12 @@ def heartbeat_downsampled(spark, sf_dir):
 
 @query
 def stream_heartbeats(spark, sf_dir):
-    """The rows the watermark has passed, from a stream over the same events."""
+    """The same from a stream over the events, in several batches in no order of time."""
     root = scratch_path(spark, "heartbeats")
-    _snapshots(spark, sf_dir).write.parquet(f"{root}/in")
-    source = spark.readStream.schema(_snapshots(spark, sf_dir).schema).parquet(f"{root}/in")
-    kept = stream_heartbeat_downsample(source, interval=DAY_SECONDS)
-    return _run_stream(kept, root)
-
-
-def _run_stream(df, root):
-    df.writeStream.format("parquet").option("path", f"{root}/out").option(
-        "checkpointLocation", f"{root}/progress"
-    ).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/out")
+    _snapshots(spark, sf_dir).repartition(3, "event_id").write.parquet(f"{root}/in")
+    source = spark.readStream.schema(_snapshots(spark, sf_dir).schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream_heartbeat_downsample(source, root, f"{root}/progress", interval=DAY_SECONDS).awaitTermination()
+    return read_heartbeats(spark, root).select("event_id", "device_id", "timestamp", "breach")
 
 
 def _packets(spark, sf_dir):
@@ -444,12 +437,8 @@ def mode_history(spark, sf_dir):
 
 @query
 def mode_trigger_breakdown(spark, sf_dir):
-    return _settled(
-        gold.mode_trigger_breakdown(
-            gold.mode_history(b.transitions(spark, sf_dir), b.telemetry(spark, sf_dir))
-        ),
-        "avg_time_in_previous_mode_s",
-        "avg_mode_switch_latency_s",
+    return gold.mode_trigger_breakdown(
+        gold.mode_history(b.transitions(spark, sf_dir), b.telemetry(spark, sf_dir))
     )
 
 
@@ -472,7 +461,7 @@ def state_sessions(spark, sf_dir):
 
 @query
 def edge_autonomy(spark, sf_dir):
-    return _settled(gold.edge_autonomy(b.telemetry(spark, sf_dir)), "avg_inter_event_gap_s")
+    return gold.edge_autonomy(b.telemetry(spark, sf_dir))
 
 
 @query
@@ -756,7 +745,8 @@ def stream_dead_letter_volume(spark, sf_dir):
     rejects = _rejects(spark, sf_dir)
     rejects.write.parquet(f"{root}/in")
     source = spark.readStream.schema(rejects.schema).parquet(f"{root}/in")
-    return _run_stream(stream_dlq_volume(source, width="6 hours"), root)
+    stream_dlq_volume(source, f"{root}/counts", f"{root}/progress", width="6 hours").awaitTermination()
+    return read_dlq_volume(spark, f"{root}/counts")
 
 
 @query
@@ -781,4 +771,5 @@ def stream_ingest_volume(spark, sf_dir):
     rows = _arrivals(spark, sf_dir)
     rows.write.parquet(f"{root}/in")
     source = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
-    return _run_stream(stream_ingest_windows(source, width="1 hour"), root)
+    stream_ingest_windows(source, f"{root}/counts", f"{root}/progress", width="1 hour").awaitTermination()
+    return read_ingest_windows(spark, f"{root}/counts")

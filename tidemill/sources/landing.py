@@ -55,11 +55,13 @@ def write_landing(events: DataFrame, path: str, at: Column | None = None) -> Non
     _dated(to_body(events), ingested).write.mode("append").partitionBy(*DATE_PARTITIONS).text(path)
 
 
-def write_dead_letters(rejects: DataFrame, path: str) -> None:
-    """Append (raw_body, error_reason, dlq_timestamp) to the landing's dead-letter folder."""
-    _dated(rejects, F.col("dlq_timestamp")).write.mode("append").partitionBy(
+def write_dead_letters(rejects: DataFrame, path: str, batch: int | None = None) -> None:
+    """Append (raw_body, error_reason, dlq_timestamp) to the landing's dead-letter folder; with the
+    number of a stream's ``batch``, to a folder of its own, which a second run replaces."""
+    folder = f"{path}/{DEAD_LETTER_FOLDER}" + ("" if batch is None else f"/batch={batch}")
+    _dated(rejects, F.col("dlq_timestamp")).write.mode("append" if batch is None else "overwrite").partitionBy(
         *DATE_PARTITIONS
-    ).option("timestampFormat", MICROSECONDS).json(f"{path}/{DEAD_LETTER_FOLDER}")
+    ).option("timestampFormat", MICROSECONDS).json(folder)
 
 
 def read_dead_letters(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -67,6 +69,7 @@ def read_dead_letters(spark: SparkSession, path: str, multi_line: bool = False)
     return (
         spark.read.schema("raw_body string, error_reason string, dlq_timestamp timestamp")
         .option("multiLine", multi_line)
+        .option("recursiveFileLookup", True)  # with and without a batch's folder
         .json(f"{path}/{DEAD_LETTER_FOLDER}")
         .select("raw_body", "error_reason", "dlq_timestamp")
     )

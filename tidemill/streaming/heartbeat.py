@@ -1,80 +1,76 @@
-"""Heartbeat sampling on a stream: the rule of the batch operator with one state per device."""
+"""Heartbeat sampling on a stream: the batch operator over what a micro-batch changes.
 
-from __future__ import annotations
+Three tables are kept, each batch under its own number: the rows seen, the rows kept, and for each
+device of a batch the time from which the batch chose anew. A device's choices from that time on
+depend only on its last kept row before and its rows since, so these are read back, also for rows
+that come late; the choices of earlier batches from that time on are void.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.operators.heartbeat import NEVER, walk
+from tidemill.operators.heartbeat import heartbeat_downsample
 from tidemill.schema import HEARTBEAT_SECONDS
+from tidemill.streaming.store import AVAILABLE_NOW, read_batches, write_batch
+
+_ROWS = "k string, tie {tie}, at timestamp, breach boolean"
+_RESETS = "k string, since timestamp"
+
+
+def _schema(tie: str) -> str:
+    return _ROWS.format(tie=tie)
+
+
+def _valid(spark: SparkSession, root: str, tie: str, below: int | None = None) -> DataFrame:
+    """The kept rows that no later batch has chosen anew."""
+    kept = read_batches(spark, f"{root}/kept", _schema(tie), below)
+    later = Window.partitionBy("k").orderBy(F.desc("batch")).rowsBetween(Window.unboundedPreceding, -1)
+    resets = read_batches(spark, f"{root}/resets", _RESETS, below).select(
+        F.col("k").alias("rk"), F.col("batch").alias("rb"), F.min("since").over(later).alias("void_from"))
+    joined = kept.join(resets, F.col("k").eqNullSafe(F.col("rk")) & (F.col("batch") == F.col("rb")))
+    return joined.filter(F.col("void_from").isNull() | (F.col("at") < F.col("void_from"))).select("k", "tie", "at", "breach")
 
 
 def stream_heartbeat_downsample(
-    df: DataFrame,
-    key: str = "device_id",
-    at: str = "timestamp",
-    breach: str = "breach",
-    interval: float = HEARTBEAT_SECONDS,
-    tie: str = "event_id",
-    delay: str = "1 minute",
-) -> DataFrame:
-    """Rows to forward, as (key, tie, at, breach).
+    df: DataFrame, root: str, checkpoint: str, key: str = "device_id", at: str = "timestamp",
+    breach: str = "breach", interval: float = HEARTBEAT_SECONDS, tie: str = "event_id",
+    trigger: dict = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Keeps the rows to forward of a stream in tables under ``root``."""
+    tie_type = df.schema[tie].dataType.simpleString()
 
-    Rows wait in the state until the watermark has passed them, so the order of arrival does
-    not matter; rows later than ``delay`` are dropped by the watermark.
-    """
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
-    out_schema = ", ".join(f"`{c}` {types[c]}" for c in (key, tie, at, breach))
-    micros = int(interval * 1_000_000)
-    tie_list = f"array<{types[tie]}>"
+    def choose(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.filter(F.col(at).isNotNull()).select(
+            F.col(key).cast("string").alias("k"), F.col(tie).alias("tie"), F.col(at).alias("at"), F.col(breach).alias("breach"))
+        write_batch(rows, f"{root}/rows", number)
+        seen = read_batches(spark, f"{root}/rows", _schema(tie_type), number + 1)
+        new = seen.filter(F.col("batch") == number)
+        write_batch(new.groupBy("k").agg(F.min("at").alias("since")), f"{root}/resets", number)
+        since = read_batches(spark, f"{root}/resets", _RESETS, number + 1).filter(F.col("batch") == number).select(
+            F.col("k").alias("rk"), "since")
+        same = F.col("k").eqNullSafe(F.col("rk"))
+        again = seen.join(since, same & (F.col("at") >= F.col("since"))).select("k", "tie", "at", "breach", F.lit(False).alias("old"))
+        # The last kept row stands as a breach: it is kept whatever comes before.
+        last = _valid(spark, root, tie_type, number).join(since, same & (F.col("at") < F.col("since"))).groupBy("k").agg(
+            F.max_by(F.struct("tie", "at"), F.struct("at", "tie")).alias("r")).select(
+            "k", "r.tie", "r.at", F.lit(True).alias("breach"), F.lit(True).alias("old"))
+        kept = heartbeat_downsample(again.unionByName(last), "k", "at", "breach", interval, "tie")
+        write_batch(kept.filter(~F.col("old")).select("k", "tie", "at", "breach"), f"{root}/kept", number)
 
-    def step(
-        keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        last, times, flags, ties = state.get if state.exists else (NEVER, [], [], [])
-        times, flags, ties = list(times), list(flags), list(ties)
-        for batch in batches:
-            stamps = batch[at].astype("datetime64[us]").astype("int64")
-            times += stamps.tolist()
-            flags += [bool(b) if b is not None else False for b in batch[breach]]
-            ties += batch[tie].tolist()
-        order = sorted(range(len(times)), key=lambda i: (times[i], ties[i]))
-        watermark = state.getCurrentWatermarkMs() * 1000
-        ready = [i for i in order if times[i] <= watermark]
-        waiting = [i for i in order if times[i] > watermark]
-        if ready:
-            at_ready = np.array([times[i] for i in ready], dtype=np.int64)
-            kept = walk(at_ready, np.array([flags[i] for i in ready]), last, micros)
-            chosen = [i for i, k in zip(ready, kept) if k]
-            if chosen:
-                last = times[chosen[-1]]
-                yield pd.DataFrame(
-                    {
-                        key: [keys[0]] * len(chosen),
-                        tie: [ties[i] for i in chosen],
-                        at: pd.to_datetime([times[i] for i in chosen], unit="us"),
-                        breach: [flags[i] for i in chosen],
-                    }
-                )
-        state.update(
-            (last, [times[i] for i in waiting], [flags[i] for i in waiting], [ties[i] for i in waiting])
-        )
-        if waiting:
-            state.setTimeoutTimestamp(max(times[waiting[0]] // 1000, watermark // 1000 + 1))
+    return df.writeStream.foreachBatch(choose).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
-    return (
-        df.withWatermark(at, delay)
-        .select(key, tie, at, breach)
-        .groupBy(key)
-        .applyInPandasWithState(
-            step,
-            out_schema,
-            f"last bigint, times array<bigint>, flags array<boolean>, ties {tie_list}",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
+
+def read_heartbeats(
+    spark: SparkSession, root: str, key: str = "device_id", at: str = "timestamp", breach: str = "breach",
+    tie: str = "event_id", tie_type: str = "bigint", delay: str = "1 minute",
+) -> DataFrame:
+    """The rows to forward so far. ``final`` is false at the open end: for rows not yet ``delay``
+    older than the newest, which rows that are still on their way may void."""
+    newest = read_batches(spark, f"{root}/rows", _schema(tie_type)).agg((F.max("at") - F.expr(f"INTERVAL {delay}")).alias("n"))
+    return _valid(spark, root, tie_type).select(
+        F.col("k").alias(key), F.col("tie").alias(tie), F.col("at").alias(at), F.col("breach").alias(breach)
+    ).withColumn("final", F.col(at) <= newest.scalar())

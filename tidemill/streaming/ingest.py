@@ -7,28 +7,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.envelope import annotate_envelope, reject_rows, valid_rows
 from tidemill.sources.landing import bronze_from_landing, read_landing, write_dead_letters, write_landing
+from tidemill.streaming.store import AVAILABLE_NOW
 
 
-def _land(batch: DataFrame, landing: str) -> None:
-    """Valid rows to the landing, the others to the dead letters.
+def _land(batch: DataFrame, number: int, landing: str) -> None:
+    """Valid rows to the landing, the others to the dead letters of this batch.
 
-    Delivery is at least once: a batch that is run again appends the same events again, with
-    the same ids, and Silver keeps one of each.
+    A batch that is run again appends the same events again, with the same ids, of which Silver
+    keeps one each; its dead letters, which have no id, replace those of the first run.
     """
     annotated = annotate_envelope(batch.select("value")).persist()
     try:
+        write_dead_letters(reject_rows(annotated), landing, batch=number)
         write_landing(valid_rows(annotated), landing)
-        write_dead_letters(reject_rows(annotated), landing)
     finally:
         annotated.unpersist()
 
 
-def stream_to_landing(lines: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
+def stream_to_landing(
+    lines: DataFrame, landing: str, checkpoint: str, trigger: dict = AVAILABLE_NOW
+) -> StreamingQuery:
     """Validate a stream of raw lines (column ``value``) into a landing tree."""
     return (
-        lines.writeStream.foreachBatch(lambda batch, _: _land(batch, landing))
+        lines.writeStream.foreachBatch(lambda batch, number: _land(batch, number, landing))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -39,6 +42,7 @@ def stream_ingest(
     bronze: str,
     checkpoint: str,
     max_files_per_trigger: int | None = None,
+    trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """New landing files to the append-only bronze table; a restart resumes after the last
     committed batch and the file sink ignores the leftovers of a broken one."""
@@ -50,6 +54,6 @@ def stream_ingest(
         .option("path", bronze)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -1,34 +1,59 @@
-"""The dead-letter and ingest counters on streams."""
+"""The dead-letter and ingest counters on streams.
+
+A micro-batch adds its counts per window to a table; reading adds them up. So the open window and
+rows that come late count too, and the result equals the batch operator's over all rows so far.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.scores import seconds_between
-from tidemill.operators.monitoring import dlq_volume
+from tidemill.streaming.store import AVAILABLE_NOW, read_batches, write_batch
+
+_COUNTS = "window_start timestamp, n long, worst double"
+
+
+def _count_windows(
+    rows: DataFrame, table: str, checkpoint: str, at: str, width: str, worst: Column, trigger: dict
+) -> StreamingQuery:
+    def add(batch: DataFrame, number: int) -> None:
+        counts = batch.groupBy(F.window(at, width)).agg(
+            F.count(F.lit(1)).alias("n"), F.max(worst).cast("double").alias("worst"))
+        write_batch(counts.select(F.col("window.start").alias("window_start"), "n", "worst"), table, number)
+
+    return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _total(spark: SparkSession, table: str) -> DataFrame:
+    return read_batches(spark, table, _COUNTS).groupBy("window_start").agg(
+        F.sum("n").alias("n"), F.max("worst").alias("worst"))
 
 
 def stream_dlq_volume(
-    rejects: DataFrame, at: str = "dlq_timestamp", width: str = "5 minutes", delay: str = "10 minutes"
-) -> DataFrame:
-    """Windows come out once the watermark closes them (append mode)."""
-    return dlq_volume(rejects.withWatermark(at, delay), at, width)
+    rejects: DataFrame, table: str, checkpoint: str, at: str = "dlq_timestamp", width: str = "5 minutes",
+    trigger: dict = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Keeps the rejects per window in ``table``."""
+    return _count_windows(rejects, table, checkpoint, at, width, F.lit(None), trigger)
+
+
+def read_dlq_volume(spark: SparkSession, table: str) -> DataFrame:
+    """Rejects per window so far, as the batch operator gives them."""
+    return _total(spark, table).select("window_start", F.col("n").alias("n_rejects"), (F.col("n") > 0).alias("alarm"))
 
 
 def stream_ingest_windows(
-    bronze: DataFrame,
-    event_at: str = "timestamp",
-    ingested_at: str = "_ingested_at",
-    width: str = "5 minutes",
-    delay: str = "10 minutes",
-) -> DataFrame:
-    """Rows and largest lag per ingestion window; the table that the gap and lag alarms, which
-    look across windows, are then computed from."""
+    bronze: DataFrame, table: str, checkpoint: str, event_at: str = "timestamp", ingested_at: str = "_ingested_at",
+    width: str = "5 minutes", trigger: dict = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Keeps the rows and the largest lag per ingestion window in ``table``; the gap and lag alarms,
+    which look across windows, are computed from it."""
     lag = seconds_between(F.col(event_at), F.col(ingested_at))
-    return (
-        bronze.withWatermark(ingested_at, delay)
-        .groupBy(F.window(ingested_at, width))
-        .agg(F.count(F.lit(1)).alias("n_events"), F.max(lag).alias("max_lag_s"))
-        .select(F.col("window.start").alias("window_start"), "n_events", "max_lag_s")
-    )
+    return _count_windows(bronze, table, checkpoint, ingested_at, width, lag, trigger)
+
+
+def read_ingest_windows(spark: SparkSession, table: str) -> DataFrame:
+    return _total(spark, table).select("window_start", F.col("n").alias("n_events"), F.col("worst").alias("max_lag_s"))
