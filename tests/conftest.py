@@ -3,7 +3,7 @@ import tempfile
 
 import pytest
 
-from tidemill.session import build_session
+from tidemill.session import build_session, discard_scratch
 
 
 @pytest.fixture(scope="session")
@@ -18,6 +18,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    discard_scratch(session)
     session.stop()
 
 

@@ -4,7 +4,7 @@ import json
 import uuid
 from datetime import datetime, timedelta, timezone
 
-BASE = datetime(2026, 8, 12, 9, 0, tzinfo=timezone.utc)
+BASE = datetime(2027, 3, 2, 4, 30, tzinfo=timezone.utc)
 
 
 def stamp(offset, base=BASE):

@@ -3,6 +3,7 @@ import os
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tests.fixtures import lines, sensor
@@ -109,9 +110,13 @@ def test_compaction(spark, tmp_path):
 def test_expectation_actions(spark):
     df = spark.createDataFrame([(1,), (None,), (-1,)], "x int")
     assert expect(df, {"p": "x > 0"}).count() == 1
-    assert expect(df, {"p": "x > 0"}, "warn").count() == 3
-    with pytest.raises(ExpectationFailed, match="p: 2 of 3"):
-        expect(df, {"p": "x > 0"}, "fail")
+    first, second = Observation("first"), Observation("second")
+    twice = expect(expect(df, {"p": "x > 0"}, "warn", first), {"q": "x < 0"}, "warn", second)
+    assert expect(twice, {"r": "x = 1"}, "warn").count() == 3
+    assert first.get == {"p": 2} and second.get == {"q": 2}
+    assert expect(df, {"p": "x > -9 OR x IS NULL"}, "fail").count() == 3
+    with pytest.raises(Exception, match="expectation broken: p"):
+        expect(df, {"p": "x > 0"}, "fail").collect()
 
 
 def test_monitor_streams_equal_the_batch(spark, tmp_path):

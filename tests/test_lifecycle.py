@@ -10,7 +10,7 @@ from tidemill.functions.scores import anomaly_score
 from tidemill.operators.escalation import pending_escalations
 from tidemill.operators.features import bearing_ml_features
 from tidemill.operators.forest import (
-    fit_isolation_forest, load_forest, mean_path, save_forest, score_isolation_forest,
+    fit_isolation_forest, load_forest, mean_path, save_forest, score_isolation_forest, tree_samples,
 )
 from tidemill.operators.silver import clean_events, fan_out_assets
 from tidemill.operators.envelope import validate_envelope
@@ -58,9 +58,28 @@ def test_same_forest_whatever_the_partitioning(spark, feature_table, tmp_path):
     assert a == pytest.approx(b)
 
 
+def test_one_sampling_rule_for_every_size(spark):
+    """On both sides of trees x samples each tree draws its own subset, and subsets overlap."""
+    trees, psi = 20, 16
+    for n in (trees * psi - 1, trees * psi, trees * psi + 1):
+        rows = tree_samples(spark.range(n), "id", trees, psi, 7, n).collect()
+        by_tree = [{r["id"] for r in rows if r["tree"] == t} for t in range(trees)]
+        assert all(len(s) == psi for s in by_tree) and len({frozenset(s) for s in by_tree}) == trees
+        distinct = len(set().union(*by_tree))
+        assert 0.55 * trees * psi < distinct < 0.72 * trees * psi  # about 1 - 1/e of the draws
+    assert len(tree_samples(spark.range(5), "id", 3, 16, 7, 5).collect()) == 15
+
+
+def test_large_forests_are_scored_in_parts(spark, feature_table):
+    forest = fit_isolation_forest(feature_table, n_trees=6, max_samples=32)
+    whole, parts = score_isolation_forest(forest), score_isolation_forest(forest, max_nodes=70)
+    rows = feature_table.select(whole.alias("a"), parts.alias("b")).collect()
+    assert all(r["a"] == pytest.approx(r["b"], abs=1e-12) for r in rows)
+
+
 def test_trees_are_well_formed_and_samples_bounded(spark, feature_table):
     rows = feature_table.filter("ground_truth_label = 'normal'")
-    forest = fit_isolation_forest(rows, n_trees=4, max_samples=16)  # 300 rows: the thinned draw
+    forest = fit_isolation_forest(rows, n_trees=4, max_samples=16)
     for tree in range(4):
         nodes = {r["node"]: r for r in forest.nodes.filter(f"tree = {tree}").collect()}
         assert nodes[0]["size"] == 16

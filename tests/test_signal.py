@@ -77,16 +77,16 @@ def test_labels(spark):
 def test_records_are_numbered_over_all_files(spark, computed):
     _, _, long = computed
     features = time_domain_features(long).withColumn("ground_truth_label", F.lit("normal"))
-    rows, rejects = translate_sensor(windows_to_records(features, "run", "dev", "2026-08-22 06:00:00"))
+    rows, rejects = translate_sensor(windows_to_records(features, "run", "dev", "2027-03-02 04:30:00"))
     got = rows.select("timestamp", F.expr("try_variant_get(payload, '$.seq', 'int')").alias("seq"),
                       F.expr("try_variant_get(payload, '$.file', 'string')").alias("file"),
                       F.expr("try_variant_get(payload, '$.waveform', 'string')").alias("w")).orderBy("seq").collect()
     assert [r["seq"] for r in got] == [1, 2, 3, 4, 5]
     assert [r["file"] for r in got] == ["constant", "partial", "partial", "spike", "zeros"]
-    assert got[0]["timestamp"] == "2026-08-22T06:00:01.000Z" and got[0]["w"] is None
+    assert got[0]["timestamp"] == "2027-03-02T04:30:01.000Z" and got[0]["w"] is None
     assert rejects.count() == 0
     with pytest.raises(ValueError):
-        windows_to_records(features, "", "dev", "2026-08-22 06:00:00")
+        windows_to_records(features, "", "dev", "2027-03-02 04:30:00")
 
 
 def test_summary_levels(spark):
@@ -97,3 +97,13 @@ def test_summary_levels(spark):
     totals = {(r["level"], r["ground_truth_label"], r["dataset_split"]): r["n_windows"] for r in rows}
     assert totals["total", None, None] == 3 and totals["label", "normal", None] == 3
     assert totals["label_split", "normal", "TRAIN"] == 2 and len(rows) == 3 + 3 + 2 + 1
+
+
+def test_an_empty_window_is_quarantined(spark):
+    from tidemill.operators.features import feature_validity
+
+    rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, []), (3, None)], "id int, waveform array<double>")
+    got = {r["id"]: r for r in waveform_features(rows).collect()}
+    assert got[1]["peak"] == 2.0 and all(got[i]["rms"] is None and got[i]["crest"] is None for i in (2, 3))
+    flagged = feature_validity(waveform_features(rows), ["rms", "crest"])
+    assert {r["id"] for r in flagged.filter("is_valid").collect()} == {1}

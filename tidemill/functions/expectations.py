@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -45,24 +46,22 @@ def violations(df: DataFrame, predicates: dict[str, str | Column]) -> DataFrame:
 
 
 def expect(
-    df: DataFrame, predicates: dict[str, str | Column], action: str = "drop"
+    df: DataFrame, predicates: dict[str, str | Column], action: str = "drop",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Apply expectations.
 
-    ``drop`` filters the violators; ``fail`` checks first and raises; ``warn`` leaves the rows
-    as they are and counts violations as observed metrics of the run.
+    ``drop`` filters the violators; ``fail`` raises when the run meets one, in the pass that
+    computes the rows; ``warn`` leaves the rows as they are and counts violations in
+    ``observation``, whose ``get`` holds them by name after the run.
     """
     if action == "drop":
         return df.filter(all_hold(predicates))
     if action == "fail":
-        broken = violations(df, predicates).filter("broken > 0").collect()
-        if broken:
-            raise ExpectationFailed(
-                ", ".join(f"{r['expectation']}: {r['broken']} of {r['checked']}" for r in broken)
-            )
-        return df
+        names = F.array_join(broken_names(predicates), ", ")
+        message = F.concat(F.lit("expectation broken: "), names)
+        return df.filter(F.when(all_hold(predicates), True).otherwise(F.raise_error(message).cast("boolean")))
     if action == "warn":
-        return df.observe(
-            "expectations", *[F.count_if(~holds(p)).alias(n) for n, p in predicates.items()]
-        )
+        counts = [F.count_if(~holds(p)).alias(n) for n, p in predicates.items()]
+        return df.observe(observation or Observation(f"expectations-{uuid.uuid4().hex}"), *counts)
     raise ValueError(f"unknown action {action!r}")

@@ -157,6 +157,7 @@ def training_eligibility(df: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the feature table.
 FEATURE_TABLE_COLUMNS = (
     "event_id",
     "device_id",

@@ -23,7 +23,8 @@ NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, size int, depth int"
 )
 DEFAULT_SAMPLES = 256
-MAX_TREE_ROWS = 1_000_000
+#: Nodes that are broadcast at once; larger forests are scored in several parts.
+MAX_NODES = 2_000_000
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -70,32 +71,26 @@ def grow_tree(x: np.ndarray, height: int, rng: np.random.Generator) -> list[tupl
     return [tuple(n) for n in nodes]
 
 
-def _tree_samples(
-    train: DataFrame, features: Sequence[str], key: str, n: int, trees: int, psi: int, seed: int
+def tree_samples(
+    train: DataFrame, key: str, trees: int, psi: int, seed: int, n: int, columns: Sequence[str] = ()
 ) -> DataFrame:
-    """(tree, features...) with ``psi`` rows per tree, chosen by hashes of the row key, so the
-    same rows come out whatever the partitioning."""
-    rank_hash = F.xxhash64(F.lit(seed), F.col(key))
-    wanted = trees * psi
-    rows = train.select(F.col(key).alias("_key"), *features, rank_hash.alias("_h"))
-    if n <= wanted:
-        # Few rows: every tree draws its own subset of all of them.
-        each = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        by_tree = Window.partitionBy("tree").orderBy(
-            F.xxhash64(F.lit(seed), "tree", "_key"), "_key", *features
-        )
-        return each.withColumn("_r", F.row_number().over(by_tree)).filter(F.col("_r") <= psi)
-    # Many rows: one uniform draw, dealt to the trees. Rows are thinned by their hash first, so
-    # only about twice the wanted number is sorted, however large the input.
-    span = 2.0 * wanted / n
-    if span < 1.0:
-        rows = rows.filter(F.col("_h").between(-int(span * 2**63), int(span * 2**63)))
-    dealt = Window.orderBy("_h", "_key", *features)
-    return (
-        rows.withColumn("_r", F.row_number().over(dealt) - 1)
-        .filter(F.col("_r") < wanted)
-        .withColumn("tree", F.col("_r") % trees)
-    )
+    """(tree, _r, key, columns...): ``psi`` of the ``n`` rows for each tree, or all if there are fewer.
+
+    Every tree orders the rows by a hash of its own number and the row key and takes the first, so
+    each draws its own subset, whatever the size of the table and its partitioning. A row reaches
+    a tree's sort only if its hash is below a cut that leaves about twice the rows wanted.
+    """
+    cut = min(1.0, (2 * psi + 64) / max(n, 1))
+
+    def draw(tree: Column) -> Column:
+        text = F.concat_ws("|", F.lit(str(seed)), tree.cast("string"), F.col(key).cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+    drawn = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < F.lit(int(cut * 2**60)))
+    rows = train.select(key, *columns, F.explode(drawn).alias("tree"))
+    order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), key, *columns)
+    return rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= psi)
 
 
 def fit_isolation_forest(
@@ -109,7 +104,8 @@ def fit_isolation_forest(
 ) -> Forest:
     """Fit on ``train`` (rows with a NULL feature are left out).
 
-    ``max_samples`` is a count, a fraction of the rows, or ``auto`` (at most 256);
+    ``max_samples`` is a count, a fraction of the rows, or ``auto`` (at most 256). A tree is grown
+    in one task, so with a fraction that task grows with the table.
     ``contamination`` is ``auto`` or the share of training rows to call anomalous.
     """
     features = tuple(features)
@@ -123,11 +119,6 @@ def fit_isolation_forest(
         psi = max(2, min(n, int(max_samples * n)))
     else:
         psi = min(int(max_samples), n)
-    if psi > MAX_TREE_ROWS:
-        raise ValueError(
-            f"max_samples={max_samples} means {psi} rows in one tree; a tree is grown in one task "
-            f"and takes up to {MAX_TREE_ROWS}"
-        )
     height = math.ceil(math.log2(max(psi, 2)))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -139,7 +130,7 @@ def fit_isolation_forest(
             columns=["tree", "node", "feature", "split", "left", "right", "size", "depth"],
         )
 
-    samples = _tree_samples(usable, features, key, n, n_trees, psi, seed)
+    samples = tree_samples(usable, key, n_trees, psi, seed, n, features)
     # An explicit number of partitions: the samples are small, and merging them would grow all
     # trees in one task.
     tasks = min(n_trees, train.sparkSession.sparkContext.defaultParallelism)
@@ -155,13 +146,21 @@ def fit_isolation_forest(
     return Forest(nodes, features, psi, offset)
 
 
-def score_isolation_forest(forest: Forest) -> Column:
-    """Decision value of each row (higher = normal, below 0 = anomalous); NULL if a feature is.
+def _parts(nodes: DataFrame, max_nodes: int) -> list[list[int]]:
+    """Trees in groups of at most ``max_nodes`` nodes, or of one tree."""
+    parts, room = [], 0
+    for r in nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).orderBy("tree").collect():
+        if not parts or r["n"] > room:
+            parts.append([])
+            room = max_nodes
+        parts[-1].append(r["tree"])
+        room -= r["n"]
+    return parts
 
-    The nodes come to the driver once, to be broadcast: their number depends on the forest's
-    parameters, not on the data scored.
-    """
-    table = forest.nodes.orderBy("tree", "node").toPandas()
+
+def _path_sum(nodes: DataFrame, features: Sequence[str]) -> Column:
+    """Sum of a row's path lengths in the trees of ``nodes``, which are broadcast."""
+    table = nodes.orderBy("tree", "node").toPandas()
     trees = [
         (
             t["feature"].to_numpy(),
@@ -173,12 +172,10 @@ def score_isolation_forest(forest: Forest) -> Column:
         )
         for _, t in table.groupby("tree")
     ]
-    shared = forest.nodes.sparkSession.sparkContext.broadcast(trees)
-    normaliser = float(mean_path(forest.max_samples))
-    offset = forest.offset
+    shared = nodes.sparkSession.sparkContext.broadcast(trees)
 
     @F.pandas_udf("double")
-    def decide(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def lengths(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         grown = shared.value
         for columns in batches:
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
@@ -193,10 +190,25 @@ def score_isolation_forest(forest: Forest) -> Column:
                     step = np.where(value <= split[at], left[at], right[at])
                     at = np.where(inner, step, at)
                 total += length[at]
-            decision = -np.exp2(-total / (len(grown) * normaliser)) - offset
-            yield pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, decision))
+            yield pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, total))
+
+    return lengths(*[F.col(c).cast("double") for c in features])
+
 
-    return F.nanvl(decide(*[F.col(c).cast("double") for c in forest.features]), F.lit(None))
+def score_isolation_forest(forest: Forest, max_nodes: int = MAX_NODES) -> Column:
+    """Decision value of each row (higher = normal, below 0 = anomalous); NULL if a feature is.
+
+    Nodes come to the driver to be broadcast, ``max_nodes`` at a time: a forest of more is scored
+    in several parts, whose path lengths are added.
+    """
+    parts = _parts(forest.nodes, max_nodes)
+    trees = sum(map(len, parts))
+    total = None
+    for part in parts:
+        one = _path_sum(forest.nodes.filter(F.col("tree").isin(part)), forest.features)
+        total = one if total is None else total + one
+    depth = total / F.lit(trees * float(mean_path(forest.max_samples)))
+    return F.nanvl(-F.pow(F.lit(2.0), -depth) - F.lit(float(forest.offset)), F.lit(None))
 
 
 def save_forest(forest: Forest, path: str) -> None:

@@ -102,6 +102,7 @@ def asof_latest_breach(
     )
 
 
+# The columns of a transition.
 TRANSITION_COLUMNS = (
     "event_id",
     "device_id",

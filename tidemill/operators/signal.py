@@ -76,7 +76,7 @@ def time_domain_features(
 
 
 def _crest() -> Column:
-    return F.when(F.col("rms") > 0, F.col("peak") / F.col("rms")).otherwise(F.lit(0.0))
+    return F.when(F.col("rms") > 0, F.col("peak") / F.col("rms")).when(F.col("rms").isNotNull(), F.lit(0.0))
 
 
 def waveform_features(df: DataFrame, waveform: str = "waveform") -> DataFrame:
@@ -85,7 +85,8 @@ def waveform_features(df: DataFrame, waveform: str = "waveform") -> DataFrame:
     values = F.transform(waveform, lambda v: v.cast("double"))
 
     def mean_of(of) -> Column:
-        return F.aggregate("_v", F.lit(0.0), lambda acc, v: acc + of(v)) / F.col("_n")
+        # an empty window has no features, and the validity check quarantines it
+        return F.try_divide(F.aggregate("_v", F.lit(0.0), lambda acc, v: acc + of(v)), F.col("_n"))
 
     based = df.withColumn("_v", values).withColumn("_n", n).withColumn("_mean", mean_of(lambda v: v))
 

@@ -99,18 +99,19 @@ BODY = (
 
 SAMPLES_PER_WINDOW = 16
 
+#: Two small trees over (k, value): tree, node, feature, split, left, right, size, depth.
+GIVEN_TREES = (
+    (0, 0, 0, 50.0, 1, 2, 16, 0), (0, 1, 1, 40.0, 3, 4, 9, 1), (0, 2, -1, 0.0, -1, -1, 7, 1),
+    (0, 3, -1, 0.0, -1, -1, 1, 2), (0, 4, -1, 0.0, -1, -1, 8, 2),
+    (1, 0, 1, 75.5, 1, 2, 16, 0), (1, 1, -1, 0.0, -1, -1, 14, 1), (1, 2, 0, 10.0, 3, 4, 2, 1),
+    (1, 3, -1, 0.0, -1, -1, 1, 2), (1, 4, -1, 0.0, -1, -1, 1, 2),
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return apply_semantics(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a table with fewer files than cores out to all cores, before work that
-    is heavy per row. A large table has files enough and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def events(spark: SparkSession, sf_dir: str, often: bool = False) -> DataFrame:
     """The events with ``timestamp`` as an instant and ``k`` read from the properties.
 
@@ -173,7 +174,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 17th event is sent a second time, later and from another file.
     """
-    base = spread(events(spark, sf_dir, often=True)).select(
+    base = events(spark, sf_dir, often=True).select(
         "event_id",
         "user_id",
         "event_type",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.scores import anomaly_score
@@ -89,6 +91,23 @@ class TrainingRun:
     frozen: DataFrame
 
 
+def freeze_threshold(
+    features: DataFrame, dataset_run_id: str, models: str, run_id: str, score: Column
+) -> DataFrame:
+    """Select the threshold of ``score`` on VALIDATION and store it under ``models/<run id>``."""
+    # Scores are fixed once: they are read for the sweep and again for its totals.
+    scored = stable(
+        validation_reader(features, dataset_run_id).select(score.alias("anomaly_score"), "is_actual_anomaly")
+    )
+    path = f"{models}/{run_id}/threshold"
+    n = train_reader(features, dataset_run_id).count()
+    frozen_threshold(select_threshold_max_f1(scored), run_id, dataset_run_id, n).write.parquet(path)
+    frozen = features.sparkSession.read.parquet(path)
+    if frozen.isEmpty():
+        raise ValueError(f"no VALIDATION rows for run {dataset_run_id!r}: no threshold")
+    return frozen
+
+
 def train(
     features: DataFrame,
     dataset_run_id: str,
@@ -100,27 +119,14 @@ def train(
 ) -> TrainingRun:
     """Fit on TRAIN, select the threshold on VALIDATION, store both under ``models/<run id>``.
     TEST rows are never read here."""
-    spark = features.sparkSession
     run_id = uuid.uuid4().hex
-    rows = train_reader(features, dataset_run_id)
     forest = fit_isolation_forest(
-        rows, n_trees=n_trees, max_samples=max_samples, contamination=contamination, seed=seed
-    )
-    # Scores are fixed once: they are read for the sweep and again for its totals.
-    scored = stable(
-        with_score(validation_reader(features, dataset_run_id), forest).select(
-            "anomaly_score", "is_actual_anomaly"
-        )
-    )
-    selected = select_threshold_max_f1(scored)
-    path = f"{models}/{run_id}"
-    frozen_threshold(selected, run_id, dataset_run_id, rows.count()).write.parquet(
-        f"{path}/threshold"
+        train_reader(features, dataset_run_id),
+        n_trees=n_trees, max_samples=max_samples, contamination=contamination, seed=seed,
     )
-    frozen = spark.read.parquet(f"{path}/threshold")
-    if frozen.isEmpty():
-        raise ValueError(f"no VALIDATION rows for run {dataset_run_id!r}: no threshold")
-    save_forest(forest, path)
+    score = anomaly_score(score_isolation_forest(forest))
+    frozen = freeze_threshold(features, dataset_run_id, models, run_id, score)
+    save_forest(forest, f"{models}/{run_id}")
     return TrainingRun(run_id, forest, frozen)
 
 
@@ -136,17 +142,19 @@ def evaluate_scored(scored: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def evaluate_frozen(features: DataFrame, models: str, run_id: str) -> DataFrame:
-    """TEST once, with the model and threshold of an explicitly named run; no search."""
+def evaluate_frozen(features: DataFrame, models: str, run_id: str, score: Column | None = None) -> DataFrame:
+    """TEST once, with the model and threshold of an explicitly named run; no search. ``score``
+    stands in for the stored forest's where the threshold was frozen for another score."""
     if not run_id:
         raise ValueError("run_id is required: an evaluation names the training run it judges")
     spark = features.sparkSession
     frozen = spark.read.parquet(f"{models}/{run_id}/threshold").first()
-    forest = load_forest(spark, f"{models}/{run_id}")
+    if score is None:
+        score = anomaly_score(score_isolation_forest(load_forest(spark, f"{models}/{run_id}")))
     rows = split_reader(features, frozen["dataset_run_id"], TEST)
     if rows.isEmpty():
         raise ValueError(f"no TEST rows for run {frozen['dataset_run_id']!r}")
-    return evaluate_scored(with_score(rows, forest), frozen["selected_threshold"]).select(
+    return evaluate_scored(rows.withColumn("anomaly_score", score), frozen["selected_threshold"]).select(
         F.lit(run_id).alias("run_id"),
         F.lit(frozen["selected_threshold"]).alias("selected_threshold"),
         "*",
@@ -166,16 +174,28 @@ def score_escalations(
     inference: DataFrame,
     validated: DataFrame,
     sensor: DataFrame,
-    forest: Forest,
+    score: Forest | Column,
     model_version: str,
     threshold: float = VALIDATION_THRESHOLD,
-    latency_ms: float = 0.0,
 ) -> DataFrame:
-    """Second-opinion envelope rows for every pending escalation."""
-    scored = with_score(
-        attach_features(pending_escalations(inference, validated), sensor), forest, "cloud_score"
-    )
-    return build_validation_events(scored, model_version, threshold, latency_ms)
+    """Second-opinion envelope rows for every pending escalation, by a forest or another score
+    over the features. The latency of a row is the time from the start of the job to its score,
+    taken from the clock of the task that scores it."""
+    value = anomaly_score(score_isolation_forest(score)) if isinstance(score, Forest) else score
+    pending = attach_features(pending_escalations(inference, validated), sensor)
+    scored = _clocked(pending.withColumn("cloud_score", value))
+    return build_validation_events(scored, model_version, threshold, F.col("_latency_ms"))
+
+
+def _clocked(scored: DataFrame) -> DataFrame:
+    """Adds ``_latency_ms``: milliseconds from now until a row passes here in its task."""
+    began = time.time()
+
+    @F.pandas_udf("double")
+    def elapsed(scores: pd.Series) -> pd.Series:
+        return pd.Series((time.time() - began) * 1000.0, index=scores.index)
+
+    return scored.withColumn("_latency_ms", F.greatest(elapsed.asNondeterministic()("cloud_score"), F.lit(0.0)))
 
 
 def run_second_opinion(
@@ -183,7 +203,7 @@ def run_second_opinion(
     inference: DataFrame,
     validated: DataFrame,
     sensor: DataFrame,
-    forest: Forest,
+    score: Forest | Column,
     model_version: str,
     landing: str,
     threshold: float = VALIDATION_THRESHOLD,
@@ -191,5 +211,5 @@ def run_second_opinion(
     """Append the second opinions to the landing tree; a repeated run adds only copies with the
     same ids."""
     write_landing(
-        score_escalations(inference, validated, sensor, forest, model_version, threshold), landing
+        score_escalations(inference, validated, sensor, score, model_version, threshold), landing
     )

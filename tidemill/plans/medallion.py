@@ -18,6 +18,7 @@ from tidemill.operators.gold import (
     mode_history,
 )
 from tidemill.operators.silver import clean_events, fan_out_assets, quarantine_events
+from tidemill.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -28,9 +29,15 @@ class Silver:
 
 
 def silver(bronze: DataFrame, configs: Iterable[AssetConfig] | None = None) -> Silver:
-    """Silver tables of a bronze table. Write ``cleaned`` (partitioned by asset_type, so the
-    fan-out prunes) before building many tables from it."""
-    cleaned = clean_events(bronze)
+    """Silver tables of a bronze table.
+
+    ``cleaned`` is written once, partitioned by asset type: the rows are deduplicated in one
+    shuffle, and each table, and each gold table after it, reads its own folder."""
+    spark = bronze.sparkSession
+    path = scratch_path(spark, "cleaned")
+    rows = clean_events(bronze)
+    rows.write.partitionBy("asset_type").parquet(path)
+    cleaned = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
     configs = discover_asset_configs() if configs is None else configs
     return Silver(cleaned, quarantine_events(bronze), fan_out_assets(cleaned, configs))
 

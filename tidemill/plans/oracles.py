@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemill.plans import bindings as b
+from tidemill.plans.bindings import GIVEN_TREES
 
 EV = (
     "ev AS (SELECT event_id, ts, user_id, event_type, value, "
@@ -323,6 +324,14 @@ ORACLES: dict[str, str] = {
           CASE asset_type WHEN 'bearing_sensor' THEN 6 WHEN 'context_snapshot' THEN 2 ELSE 4 END
           - CASE WHEN d IN (6, 7) THEN 1 ELSE 0 END END AS BIGINT) AS filled
         FROM cleaned WHERE asset_type <> 'mystery_sensor'""",
+    "medallion_gold_counts": f"""WITH {RAW}, of AS (SELECT * FROM cleaned WHERE asset_type <> 'mystery_sensor')
+        SELECT 'asset_health_summary' AS gold_table,
+          count(DISTINCT (asset_type, device_id, date_trunc('day', at_))) AS n FROM cleaned
+        UNION ALL SELECT 'mode_history', count(*) FILTER (asset_type = 'orchestrator_mode') FROM of
+        UNION ALL SELECT 'detection_performance', count(DISTINCT asset_type) FILTER (asset_type = 'bearing_inference') FROM of
+        UNION ALL SELECT 'cloud_egress', count(DISTINCT device_id) FILTER (asset_type = 'bearing_inference') FROM of
+        UNION ALL SELECT 'bearing_ml_features_quarantine', count(*) FILTER (asset_type = 'bearing_sensor') FROM of
+        UNION ALL SELECT unnest(['edge_autonomy', 'escalation_efficacy', 'bearing_ml_features']), 0""",
     "layer_reconciliation": f"""WITH {RAW} SELECT eid AS event_id, count(*) AS bronze,
         count(*) FILTER (d NOT IN (4, 14)) AS valid,
         count(DISTINCT CASE WHEN d NOT IN (4, 14) THEN 1 END) AS cleaned,
@@ -421,7 +430,7 @@ ORACLES: dict[str, str] = {
     "windows_to_events": f"""WITH {SAMPLES}, numbered AS (
         SELECT *, row_number() OVER (ORDER BY source_file, window_idx) AS seq,
                {b.PART_LABEL} AS label FROM featured),
-        stamped AS (SELECT *, strftime(TIMESTAMP '2026-08-22 06:00:00' + to_seconds(seq),
+        stamped AS (SELECT *, strftime(TIMESTAMP '2027-03-02 04:30:00' + to_seconds(seq),
                '%Y-%m-%dT%H:%M:%S.000Z') AS t FROM numbered)
         SELECT {_uuid5(NAMESPACE_HEX, "'sensors.bearing:bearing.1:' || seq || ':' || t")} AS event_id,
         t AS "timestamp", CASE WHEN label = 'normal' THEN 'normal' ELSE 'high' END AS priority,
@@ -466,8 +475,44 @@ ORACLES: dict[str, str] = {
         e AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p,
               CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r FROM c)
         SELECT tp, fp, fn, tn, n_windows, n_recordings, round(p, 6) AS "precision",
-        round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1
-        FROM e""",
+        round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1,
+        (SELECT round(score, 6) FROM best) AS selected_threshold FROM e""",
+    "train_rows": f"""WITH {SENSOR}, {VALID}, {_split('valid')}
+        SELECT event_id, source_file, window_idx, round(rms, 6) AS rms
+        FROM valid JOIN split USING (source_file, ground_truth_label)
+        WHERE dataset_split = 'TRAIN' AND ground_truth_label = 'normal' AND dataset_run_id = 'run-1'""",
+    "frozen_threshold": f"""WITH {SENSOR}, {VALID}, {_split('valid')},
+        rows AS (SELECT dataset_split, rms / 1000 AS score, ground_truth_label <> 'normal' AS actual
+                 FROM valid JOIN split USING (source_file, ground_truth_label) WHERE dataset_run_id = 'run-1'),
+        scored AS (SELECT * FROM rows WHERE dataset_split = 'VALIDATION'), {SWEEP}
+        SELECT 'given' AS run_id, 'run-1' AS dataset_run_id, 5.0::DOUBLE AS score_sigmoid_k,
+        'validation_max_f1' AS threshold_selection_method, round(score, 6) AS selected_threshold,
+        tp AS validation_tp, fp AS validation_fp, fn AS validation_fn, tn AS validation_tn,
+        round(p, 6) AS validation_precision, round(r, 6) AS validation_recall, round(f, 6) AS validation_f1,
+        (SELECT count(*) FROM per) AS candidates_evaluated,
+        (SELECT count(*) FROM rows WHERE dataset_split = 'TRAIN' AND NOT actual) AS n_training_rows FROM best""",
+    "second_opinion_loop": f"""WITH {PENDING}, {_bound('sensor', b.SENSOR)}, x AS (
+        SELECT p.event_id AS source, p.anomaly, s.rms / 1000 AS score FROM pending p JOIN sensor s USING (device_id, seq))
+        SELECT {_uuid5(VALIDATION_HEX, 'source')} AS event_id, source AS source_event_id,
+        round(score, 6) AS cloud_score, CASE WHEN score > 0.6 THEN 'anomaly' ELSE 'normal' END AS cloud_decision,
+        (score > 0.6) = coalesce(anomaly, FALSE) AS agrees_with_edge, TRUE AS latency_measured FROM x""",
+    "forest_samples": """WITH h AS (SELECT tree, vec_id,
+          ('0x' || substr(md5('7|' || tree || '|' || vec_id), 1, 15))::BIGINT AS h
+          FROM embeddings, (SELECT unnest(generate_series(0, 19)) AS tree)),
+        r AS (SELECT tree, vec_id, row_number() OVER (PARTITION BY tree ORDER BY h, vec_id) AS r FROM h)
+        SELECT tree, vec_id FROM r WHERE r <= 32""",
+    "forest_path_lengths": f"""WITH RECURSIVE {EV}, n(tree, node, f, split, l, r, size, depth) AS (VALUES
+          {", ".join(str(t) for t in GIVEN_TREES)}),
+        w AS (SELECT event_id, k, value, tree, 0 AS node FROM ev, (VALUES (0), (1)) t(tree)
+          UNION ALL SELECT event_id, k, value, w.tree,
+            CASE WHEN CASE n.f WHEN 0 THEN k ELSE value END <= n.split THEN n.l ELSE n.r END
+          FROM w JOIN n ON w.tree = n.tree AND w.node = n.node WHERE n.f >= 0),
+        c AS (SELECT *, CASE WHEN size > 2 THEN 2 * (ln(size - 1) + 0.5772156649015329) - 2 * (size - 1) / size
+                             WHEN size = 2 THEN 1 ELSE 0 END AS unseen FROM n),
+        p AS (SELECT event_id, sum(depth + unseen)::DOUBLE AS total FROM w JOIN c ON w.tree = c.tree AND w.node = c.node
+              WHERE c.f < 0 GROUP BY event_id)
+        SELECT event_id, round(0.5 - pow(2, -total / (2 * (2 * (ln(15) + 0.5772156649015329) - 2 * 15 / 16.0::DOUBLE))), 6)
+        AS decision FROM p""",
     "pending_escalations": f"WITH {PENDING} SELECT event_id, device_id, seq FROM pending",
     "attach_features": f"""WITH {PENDING}, {_bound('sensor', b.SENSOR)}
         SELECT device_id, seq, p.event_id, {FEATURE_LIST} FROM pending p JOIN sensor s
@@ -481,7 +526,8 @@ ORACLES: dict[str, str] = {
         round(CAST(edge_confidence AS DOUBLE), 6) AS edge_confidence, round(score, 6) AS cloud_score,
         CASE WHEN cloud THEN 'anomaly' ELSE 'normal' END AS cloud_decision,
         cloud = anomaly AS agrees_with_edge, coalesce(model_version, 'unversioned') AS edge_model_version,
-        'second-v1' AS cloud_model_version FROM x""",
+        'second-v1' AS cloud_model_version, round(anomaly_score, 6) AS edge_score,
+        round(infer_ms * 2, 6) AS validation_latency_ms, mode FROM x""",
     "payload_bytes": f"""WITH {SIZED} SELECT event_id, small AS stats_only_bytes,
         small + wave AS stats_plus_waveform_bytes, wave AS waveform_bytes,
         round(wave / (small + wave), 6) AS waveform_share,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, TimestampType
 
-from tidemill.config import discover_asset_configs, load_asset_config
+from tidemill.config import load_asset_config
 from tidemill.functions.expectations import violations
 from tidemill.functions.ids import deterministic_event_id
 from tidemill.functions.scores import anomaly_score, bucket_confidence
@@ -24,7 +24,6 @@ from tidemill.operators.heartbeat import heartbeat_downsample
 from tidemill.operators.silver import (
     clean_events,
     dedup_latest,
-    fan_out_assets,
     flatten_payload,
     quarantine_events,
     select_valid,
@@ -39,7 +38,8 @@ from tidemill.operators.translate import (
     translate_sensor,
 )
 from tidemill.plans import bindings as b
-from tidemill.plans.lifecycle import evaluate_scored, validation_reader
+from tidemill.plans import lifecycle
+from tidemill.plans.medallion import gold as gold_tables, silver
 from tidemill.schema import BRIDGE_NAMESPACE
 from tidemill.session import scratch_path, stable
 from tidemill.sources.landing import (
@@ -202,7 +202,7 @@ def deterministic_event_ids(spark, sf_dir):
 
 def _records(spark, sf_dir):
     """Raw records as JSON text; every eleventh lacks the field named by its translation."""
-    e = b.spread(b.events(spark, sf_dir, often=True)).withColumn("lacking", F.expr("event_id % 11 = 0"))
+    e = b.events(spark, sf_dir, often=True).withColumn("lacking", F.expr("event_id % 11 = 0"))
     t = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     device = F.concat(F.lit("dev-"), "user_id")
     record = F.struct(
@@ -284,7 +284,7 @@ def stream_heartbeats(spark, sf_dir):
 
 def _packets(spark, sf_dir):
     """Tracker lines: positions, keep-alives, logins, blanks, junk and broken numbers."""
-    e = b.spread(b.events(spark, sf_dir, often=True))
+    e = b.events(spark, sf_dir, often=True)
     position = F.concat(
         F.lit("$$76,8652800"), F.lpad(F.col("user_id").cast("string"), 8, "0"), F.lit(",AAA,"),
         F.date_format("timestamp", "yyMMdd,HHmmss"), F.lit(","),
@@ -376,10 +376,8 @@ def flatten_payload_table(spark, sf_dir):
 @query
 def flatten_all_types(spark, sf_dir):
     """Every flattened table, each row with the number of filled payload columns."""
-    cleaned = stable(clean_events(b.bronze(spark, sf_dir)))
-    tables = fan_out_assets(cleaned, discover_asset_configs())
     out = None
-    for name, df in tables.items():
+    for name, df in silver(b.bronze(spark, sf_dir)).tables.items():
         filled = [F.col(c).isNotNull().cast("bigint") for c in df.columns[len(ENVELOPE_TEXT):]]
         total = F.lit(0).cast("bigint")
         for c in filled:
@@ -391,19 +389,35 @@ def flatten_all_types(spark, sf_dir):
 
 @query
 def layer_reconciliation(spark, sf_dir):
-    bronze = stable(b.bronze(spark, sf_dir))
-    cleaned = stable(clean_events(bronze))
+    """Counts per layer from the stored tables, of which only ids and flags are read."""
+    root = scratch_path(spark, "layers")
+    b.bronze(spark, sf_dir).write.parquet(f"{root}/bronze")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    layer = silver(bronze)
     return monitoring.layer_reconciliation(
         {
             "bronze": bronze,
             "valid": select_valid(bronze),
-            "cleaned": cleaned,
-            "quarantined": quarantine_events(bronze),
-            "flattened": flatten_payload(cleaned, load_asset_config("bearing_sensor")),
+            "cleaned": layer.cleaned,
+            "quarantined": layer.quarantine,
+            "flattened": layer.tables["silver_bearing_sensor_telemetry"],
         }
     )
 
 
+@query
+def medallion_gold_counts(spark, sf_dir):
+    """Landing to gold: the rows of each gold table."""
+    path = scratch_path(spark, "landing")
+    write_landing(valid_rows(annotate_envelope(b.raw_lines(spark, sf_dir))), path)
+    layer = silver(bronze_from_landing(read_landing(spark, path)))
+    out = None
+    for name, df in gold_tables(layer).items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("gold_table"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # -- gold ---------------------------------------------------------------------
 
 
@@ -558,7 +572,7 @@ def time_domain_features(spark, sf_dir):
 
 @query
 def waveform_features(spark, sf_dir):
-    return signal.waveform_features(b.spread(b.table(spark, sf_dir, "embeddings")), "embedding").drop(
+    return signal.waveform_features(b.table(spark, sf_dir, "embeddings"), "embedding").drop(
         "embedding"
     )
 
@@ -597,7 +611,7 @@ def pick_channel(spark, sf_dir):
 @query
 def windows_to_events(spark, sf_dir):
     records = signal.windows_to_records(
-        b.window_features(spark, sf_dir), "run-1", "bearing.1", "2026-08-22 06:00:00"
+        b.window_features(spark, sf_dir), "run-1", "bearing.1", "2027-03-02 04:30:00"
     )
     rows, _ = translate_sensor(records)
     get = lambda n, t: F.expr(f"try_variant_get(payload, '$.{n}', '{t}')")
@@ -630,7 +644,7 @@ def recording_summary(spark, sf_dir):
 
 @query
 def isolation_forest_scores(spark, sf_dir):
-    rows = signal.waveform_features(b.spread(b.table(spark, sf_dir, "embeddings")), "embedding")
+    rows = signal.waveform_features(b.table(spark, sf_dir, "embeddings"), "embedding")
     grown = forest.fit_isolation_forest(rows.filter("label = 0"), key="vec_id")
     raw = forest.score_isolation_forest(grown)
     return rows.select("vec_id", "label", raw.alias("decision")).withColumn(
@@ -638,6 +652,22 @@ def isolation_forest_scores(spark, sf_dir):
     )
 
 
+@query
+def forest_samples(spark, sf_dir):
+    """The rows that each of 20 trees is grown from."""
+    rows = b.table(spark, sf_dir, "embeddings").select("vec_id")
+    return forest.tree_samples(rows, "vec_id", 20, 32, 7, rows.count()).select("tree", "vec_id")
+
+
+@query
+def forest_path_lengths(spark, sf_dir):
+    """Decision values of the events in given trees, whose paths SQL can follow too."""
+    nodes = spark.createDataFrame(b.GIVEN_TREES, forest.NODE_SCHEMA)
+    given = forest.Forest(nodes, ("k", "value"), 16, -0.5)
+    rows = b.events(spark, sf_dir).select("event_id", "k", "value")
+    return rows.select("event_id", forest.score_isolation_forest(given).alias("decision"))
+
+
 @query
 def anomaly_scores(spark, sf_dir):
     raw = (F.col("value") - 50) / 128
@@ -663,21 +693,50 @@ def select_threshold(spark, sf_dir):
     return select_threshold_max_f1(_scored(spark, sf_dir))
 
 
-def _feature_rows(spark, sf_dir):
-    """The feature table with a given score, so that the readers can be checked exactly."""
+#: A given score, so that the model jobs can be checked exactly.
+GIVEN_SCORE = "rms / 1000"
+
+
+def _frozen(spark, sf_dir):
+    """(feature table, models folder) after a threshold was frozen for the given score."""
+    path = scratch_path(spark, "features")
+    features.bearing_ml_features(b.sensor(spark, sf_dir)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    lifecycle.freeze_threshold(rows, "run-1", f"{path}-models", "given", F.expr(GIVEN_SCORE))
+    return rows, f"{path}-models"
+
+
+@query
+def train_rows(spark, sf_dir):
     rows = features.bearing_ml_features(b.sensor(spark, sf_dir))
-    return stable(rows.withColumn("anomaly_score", F.col("rms") / 1000))
+    return lifecycle.train_reader(rows, "run-1").select("event_id", "source_file", "window_idx", "rms")
+
+
+@query
+def frozen_threshold(spark, sf_dir):
+    _, models = _frozen(spark, sf_dir)
+    return spark.read.parquet(f"{models}/given/threshold").drop("feature_columns")
 
 
 @query
 def evaluate_frozen(spark, sf_dir):
     """Threshold from VALIDATION, one confusion on TEST."""
-    rows = _feature_rows(spark, sf_dir)
-    tau = select_threshold_max_f1(validation_reader(rows, "run-1"))
-    test = rows.filter("dataset_split = 'TEST'").withColumn(
-        "_tau", tau.select("threshold").scalar()
-    )
-    return evaluate_scored(test, F.col("_tau"))
+    rows, models = _frozen(spark, sf_dir)
+    return lifecycle.evaluate_frozen(rows, models, "given", F.expr(GIVEN_SCORE)).drop("run_id")
+
+
+@query
+def second_opinion_loop(spark, sf_dir):
+    """Second opinions go to the landing and come back through silver; a second run adds nothing."""
+    path = scratch_path(spark, "opinions")
+    inference, sensor = b.telemetry(spark, sf_dir), b.sensor(spark, sf_dir)
+    done = b.validations(spark, sf_dir)
+    for _ in range(2):
+        lifecycle.run_second_opinion(spark, inference, done, sensor, F.expr(GIVEN_SCORE), "second-v1", path)
+    rows = clean_events(bronze_from_landing(read_landing(spark, path)))
+    table = flatten_payload(rows, load_asset_config("cloud_validation"))
+    return table.select("event_id", "source_event_id", "cloud_score", "cloud_decision", "agrees_with_edge",
+                        (F.col("validation_latency_ms") > 0).alias("latency_measured"))
 
 
 @query
@@ -701,15 +760,16 @@ def validation_events(spark, sf_dir):
         b.telemetry(spark, sf_dir), b.validations(spark, sf_dir)
     ).withColumn("cloud_score", F.col("infer_ms") / 100)
     rows = escalation.build_validation_events(
-        pending, "second-v1", at=F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        pending, "second-v1", latency_ms=F.col("infer_ms") * 2, at=F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
     get = lambda n, t: F.expr(f"try_variant_get(payload, '$.{n}', '{t}')").alias(n)
     return rows.select(
         "event_id", "device_id", "asset_type", "timestamp", "priority",
         get("source_event_id", "string"), get("edge_anomaly", "boolean"),
-        get("edge_confidence", "double"), get("cloud_score", "double"),
+        get("edge_score", "double"), get("edge_confidence", "double"), get("cloud_score", "double"),
         get("cloud_decision", "string"), get("agrees_with_edge", "boolean"),
         get("edge_model_version", "string"), get("cloud_model_version", "string"),
+        get("validation_latency_ms", "double"), get("mode", "string"),
     )
 
 

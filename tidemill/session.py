@@ -59,19 +59,38 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster."""
+    """The folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    # Only a session without the setting (a local test) gets a folder of its own.
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
+    # Only a local session without the setting (a test) gets a folder of its own.
     local = tempfile.mkdtemp(prefix="spark-")
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
+_SCRATCH: list[tuple[str, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> int:
+    """Delete the application's tables under the shared folder, whose results are then no longer
+    readable: the last step of a job. Returns their number."""
+    mine = [path for owner, path in _SCRATCH if owner == spark.sparkContext.applicationId]
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for path in mine:
+        where = hadoop.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    _SCRATCH[:] = [entry for entry in _SCRATCH if entry[1] not in mine]
+    return len(mine)
 
 
 def stable(df: DataFrame) -> DataFrame:
