@@ -24,22 +24,23 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     rows without an id. Rows with equal ids are versions of one document, of which one stays."""
     apply_semantics(spark)
     found = minhash.near_duplicates(docs, percent=80)
-    ids = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_kept_id")).distinct()
-    one = docs.join(ids, docs["doc_id"] == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    ids = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"))
+    one = rows.join(ids, F.col("own") == F.col("kept_id"), "left_semi").dropDuplicates(["own"])
+    return one.unionByName(rows.filter(F.col("own").isNull())).select("row.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in place of personal data."""
     apply_semantics(spark)
-    done = pii.replace_entities(docs, PII_KEY).drop("_entities")
+    done = pii.replace_entities(docs, PII_KEY)
     return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else done
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in the order of the curriculum."""
     apply_semantics(spark)
-    return mixing.by_position(mixing.mixed_documents(docs), "_position", "doc_id").drop("_position")
+    return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ SCHEDULES = (
     ((0.0, 0.5), (0.5, 0.5), (1.0, 2.5)),
     ((0.0, 1.0), (1.0, 1.0)),
 )
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 4_096
 _KEY_BITS = 60
 
 
@@ -159,12 +159,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     if at least half of it belongs to the mix. Rows equal in id and text count as copies."""
     mark = F.xxhash64(F.col("text"))
     plan = plan_mix(docs, keep=[mark], **options).groupBy("doc_id", "_keep0").agg(
-        F.flatten(F.collect_list(F.filter("passes", lambda p: p["whole"]))).alias("_passes"))
-    plan = plan.withColumnRenamed("doc_id", "_id").filter(F.size("_passes") > 0)
-    names = docs.columns
-    one = docs.withColumn("_mark", mark).dropDuplicates(["doc_id", "_mark"])
-    joined = one.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_mark").eqNullSafe(F.col("_keep0")))
-    return joined.select(*names, F.explode("_passes.position").alias("_position")).select(*names, "_position")
+        F.flatten(F.collect_list(F.filter("passes", lambda p: p["whole"]))).alias("passes"))
+    plan = plan.filter(F.size("passes") > 0).select(F.col("doc_id").alias("id"), F.col("_keep0").alias("of"), "passes.position")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), mark.alias("mark")).dropDuplicates(["own", "mark"])
+    joined = rows.join(plan, F.col("own").eqNullSafe(F.col("id")) & F.col("mark").eqNullSafe(F.col("of")))
+    taken = joined.select("row", F.col("own"), F.explode("position").alias("position"))
+    return by_position(taken, "position", "own").select("row.*")
 
 
 def oracle(weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> str:

@@ -207,29 +207,36 @@ def assign_surrogates(entities: DataFrame, key: str, max_rounds: int = 50) -> Da
     raise ValueError(f"no distinct surrogates after {max_rounds} rounds")
 
 
-def replace_entities(docs: DataFrame, key: str, *, text: str = "text") -> DataFrame:
-    """``docs`` with surrogates in place of all entities, and ``_entities``: kind → number."""
-    names = docs.columns
-    hit = F.col(text).rlike(HINT) & F.col(text).rlike(COMBINED)
-    clean = docs.filter(~F.coalesce(hit, F.lit(False))).withColumn("_entities", F.array().cast("array<string>"))
-    mark = F.xxhash64(F.col(text))
-    some = docs.filter(hit).withColumn("_mark", mark)
+def replaced(docs: DataFrame, key: str, *, text: str = "text") -> DataFrame:
+    """``row``: the struct of a row of ``docs`` (with doc_id and text) with surrogates in place of
+    all entities; ``kinds``: the kinds of its entities in order."""
+    rows = docs.select(F.struct("*").alias("row"))
+    value = F.col("row")[text]
+    hit = F.coalesce(value.rlike(HINT) & value.rlike(COMBINED), F.lit(False))
+    clean = rows.filter(~hit).withColumn("kinds", F.array().cast("array<string>"))
+    some = rows.filter(hit).withColumn("mark", F.xxhash64(value))
     found = some.select(
-        "doc_id", "_mark", F.posexplode(F.regexp_extract_all(F.col(text), F.lit(COMBINED), F.lit(0))).alias("_i", "_found"))
-    found = found.withColumn("_kind", _kind_of(F.col("_found")))
-    found = settled(found.withColumn("_parts", _parts(F.col("_found"), F.col("_kind"))))
-    parts = found.select("_found", "_kind", F.posexplode("_parts").alias("_p", "_part")).select(
-        "_found", "_kind", "_p", "_part.kind", "_part.value").distinct()
+        F.col("row.doc_id").alias("id"), "mark",
+        F.posexplode(F.regexp_extract_all(value, F.lit(COMBINED), F.lit(0))).alias("i", "found"))
+    found = found.withColumn("kind", _kind_of(F.col("found")))
+    found = settled(found.withColumn("parts", _parts(F.col("found"), F.col("kind"))))
+    parts = found.select("found", "kind", F.posexplode("parts").alias("p", "part")).select(
+        "found", F.col("kind").alias("of"), "p", "part.kind", "part.value").distinct()
     made = assign_surrogates(settled(parts.select("kind", "value").distinct()), key)
     # A row for each distinct match: copies of a document don't multiply the work.
-    rendered = settled(parts.join(made, ["kind", "value"]).groupBy("_found", "_kind").agg(
-        F.array_sort(F.collect_list(F.struct("_p", "surrogate"))).alias("_made")
-    ).select("_found", _rendered(F.col("_found"), F.col("_kind"), F.col("_made.surrogate")).alias("_new")))
-    per_doc = found.select("doc_id", "_mark", "_i", "_found", "_kind").join(rendered, "_found").groupBy("doc_id", "_mark").agg(
-        F.array_sort(F.collect_set(F.struct("_i", "_new", "_kind"))).alias("_all"))
-    per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_m"), "_all")
-    joined = some.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")))
-    gaps = F.split(F.col(text), COMBINED, -1)
-    new = F.array_join(F.zip_with(gaps, F.col("_all._new"), lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
-    changed = joined.select(*(new.alias(n) if n == text else F.col(n) for n in names), F.col("_all._kind").alias("_entities"))
+    rendered = settled(parts.join(made, ["kind", "value"]).groupBy("found", "of").agg(
+        F.array_sort(F.collect_list(F.struct("p", "surrogate"))).alias("made")
+    ).select("found", _rendered(F.col("found"), F.col("of"), F.col("made.surrogate")).alias("new")))
+    per_doc = found.select("id", "mark", "i", "found", "kind").join(rendered, "found").groupBy("id", "mark").agg(
+        F.array_sort(F.collect_set(F.struct("i", "new", "kind"))).alias("all"))
+    per_doc = per_doc.select("id", F.col("mark").alias("of"), "all")
+    joined = some.join(per_doc, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")))
+    gaps = F.split(value, COMBINED, -1)
+    new = F.array_join(F.zip_with(gaps, F.col("all.new"), lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
+    changed = joined.select(F.col("row").withField(text, new).alias("row"), F.col("all.kind").alias("kinds"))
     return changed.unionByName(clean)
+
+
+def replace_entities(docs: DataFrame, key: str, *, text: str = "text") -> DataFrame:
+    """``docs`` with surrogates in place of all entities."""
+    return replaced(docs, key, text=text).select("row.*")

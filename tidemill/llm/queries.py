@@ -53,13 +53,12 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_semantics(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = pii.replace_entities(docs, PII_KEY)
+    done = pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
     def number(kind: str) -> Column:
-        return F.size(F.filter("_entities", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
 
-    return done.select("doc_id", *map(number, pii.PATTERNS), "text")
+    return done.select("row.doc_id", *map(number, pii.PATTERNS), "row.text")
 
 
 def tokenizer() -> tuple[str, str]:
