@@ -11,6 +11,7 @@ from tidemill.operators.features import (
     trend_features,
 )
 from tidemill.schema import FEATURES, FORBIDDEN_FEATURE_COLUMNS
+from tidemill.session import scratch_path
 
 SENSOR = (
     "event_id string, device_id string, timestamp timestamp, source_file string, "
@@ -95,3 +96,14 @@ def test_one_label_per_file(spark):
     files = spark.createDataFrame([("a", "normal"), ("a", "ball")], "source_file string, ground_truth_label string")
     with pytest.raises(ValueError, match="'a'"):
         assert_one_label_per_file(files)
+
+
+def test_the_feature_table_counts_its_input_once(spark):
+    """Two scans of the input: one for the counts, one for the rows."""
+    rows = sensor_rows(spark, {"normal": ["n1", "n2"], "ball": ["b1"]}, windows=8)
+    path = f"{scratch_path(spark, 'sensor')}"
+    rows.write.parquet(path)
+    table = bearing_ml_features(spark.read.parquet(path))
+    scans = [line for line in table._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line and path in line]
+    assert len(scans) == 1  # the counts were taken while the plan was built, in one further scan
+    assert table.count() == 24

@@ -24,6 +24,7 @@ from tidemill.schema import (
     TREND_ROWS,
     VALIDATION,
 )
+from tidemill.session import stable
 
 RECORDING = ("source_file", "ground_truth_label")
 
@@ -85,12 +86,14 @@ def split_of(label: Column, rank: Column, total: Column) -> Column:
 
 
 def assign_recording_split(windows: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """One row per recording with its rank within the label, the label's total and the split."""
-    recordings = windows.select(*RECORDING).distinct()
+    """One row per recording with its rank within the label, the label's total and the split.
+
+    The recordings, a small table, are written once: counts per label, ranks and totals read it."""
+    recordings = stable(windows.select(*RECORDING).distinct())
     ranked = OrderedRuns.of(recordings, ["ground_truth_label"], ["source_file"], max_rows).running(
         rank=("sum", F.lit(1).cast("long"))
     )
-    totals = ranked.rows().groupBy("ground_truth_label").agg(F.count(F.lit(1)).alias("total"))
+    totals = recordings.groupBy("ground_truth_label").agg(F.count(F.lit(1)).alias("total"))
     return (
         ranked.rows()
         .join(totals, "ground_truth_label")
@@ -126,14 +129,16 @@ def trend_features(
     df: DataFrame,
     run_column: str | None = "dataset_run_id",
     max_rows: int = MAX_ROWS_PER_TASK,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling values over the current and four earlier windows of the same recording.
 
-    ``run_column`` keeps runs that share a file name apart; None orders by file alone.
+    ``run_column`` keeps runs that share a file name apart; None orders by file alone. ``sizes``:
+    the number of rows ``_n`` by these, if it is known.
     """
     keys = ["source_file"] if run_column is None else [run_column, "source_file"]
     back = 1 - TREND_ROWS
-    runs = OrderedRuns.of(df, keys, ["window_idx", "event_id"], max_rows).frame(
+    runs = OrderedRuns.of(df, keys, ["window_idx", "event_id"], max_rows, sizes).frame(
         TREND_ROWS - 1,
         rms_roll_mean_5=lambda w: F.avg("rms").over(w.rowsBetween(back, 0)),
         rms_roll_std_5=lambda w: F.coalesce(
@@ -190,8 +195,11 @@ def bearing_ml_features(
 ) -> DataFrame:
     """One row per valid sensor window. Publish with ``FEATURE_EXPECTATIONS``."""
     valid = feature_validity(sensor).filter("is_valid").drop("missing_columns", "is_valid")
-    recordings = assign_recording_split(valid, max_rows)
-    split = broadcast_split(trend_features(valid, run_column, max_rows), recordings)
+    # One count of the input serves the recordings and the search for hot ones.
+    run = [] if run_column is None else [run_column]
+    counted = stable(valid.groupBy(*run, *RECORDING).agg(F.count(F.lit(1)).alias("_n")))
+    recordings = assign_recording_split(counted, max_rows)
+    split = broadcast_split(trend_features(valid, run_column, max_rows, counted), recordings)
     out = training_eligibility(split).select(
         *FEATURE_TABLE_COLUMNS,
         F.lit(FEATURE_SET_VERSION).alias("feature_set_version"),

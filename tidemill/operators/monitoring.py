@@ -57,7 +57,7 @@ def ingest_gaps(
     # Two steps, so that no row ever holds all windows of a long time range.
     blocks = bounds.filter("lo IS NOT NULL").selectExpr(
         "hi", f"explode(sequence(lo, hi, make_interval(0, 0, 0, 0, 0, 0, {step * 256}))) AS b"
-    )
+    ).repartition("b")  # a long range, as after one wrong clock, is filled by many tasks
     every = blocks.selectExpr(
         f"explode(sequence(b, least(hi, b + make_interval(0, 0, 0, 0, 0, 0, {step * 255})), "
         f"make_interval(0, 0, 0, 0, 0, 0, {step}))) AS window_start",

@@ -42,18 +42,22 @@ def _matches(names: Sequence[str]) -> Column:
 
 
 def split_hot_rows(
-    df: DataFrame, keys: Sequence[str], max_rows: int
+    df: DataFrame, keys: Sequence[str], max_rows: int, sizes: DataFrame | None = None
 ) -> tuple[DataFrame | None, DataFrame | None, int]:
     """(rows of ordinary keys, rows of keys above ``max_rows``, number of hot rows).
 
-    Runs one aggregation of the key columns. At most ``MAX_HOT_KEYS`` keys reach the driver;
-    with more than that the whole input takes the hot way.
+    Runs one aggregation of the key columns, or of ``sizes``, the rows (keys, _n) of a count that
+    the caller has already. At most ``MAX_HOT_KEYS`` keys reach the driver; with more than that
+    the whole input takes the hot way.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if sizes is None:
+        sizes = df.select(*keys, F.lit(1).alias("_n"))
+    sizes = sizes.groupBy(*keys).agg(F.sum("_n").alias("_n"))
     hot = sizes.filter(F.col("_n") > max_rows).limit(MAX_HOT_KEYS + 1).collect()
     if not hot:
         return df, None, 0
     if not keys or len(hot) > MAX_HOT_KEYS:
+        # without keys the one row found holds the number of all rows
         total = hot[0]["_n"] if not keys else df.count()
         return None, df, total
     schema = df.select(*keys).schema
@@ -83,8 +87,9 @@ class OrderedRuns:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int = MAX_ROWS_PER_TASK,
+        sizes: DataFrame | None = None,
     ) -> OrderedRuns:
-        cold, hot, n_hot = split_hot_rows(df, keys, max_rows)
+        cold, hot, n_hot = split_hot_rows(df, keys, max_rows, sizes)
         if hot is None:
             return cls(df, tuple(keys), tuple(order), False)
         n_chunks = max(2, math.ceil(n_hot / max_rows))
