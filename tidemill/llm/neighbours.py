@@ -173,3 +173,15 @@ def nearest(
     others = queries.join(ranked, F.col("query") == queries["id"]).filter(F.col("vec_id") != F.col("query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("_r"))
     return others.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
+
+
+def oracle(k: int = 20) -> str:
+    """Brute force in the SQL of an embedded database: what the forest gives where all entries are
+    candidates, as on small tables."""
+    return f"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2])) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}"""

@@ -88,5 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_chat_perspectives": chat.oracle(),
     "op3_secret_scans": secrets.oracle(),
+    "op4_nearest_neighbours": neighbours.oracle(),
+    "op5_suffix_dedup": suffixes.oracle(),
+    "op6_minhash_dedup": minhash.oracle(85),
     "op10_mixing": mixing.oracle(),
 }

@@ -351,3 +351,25 @@ def _cover(step, texts, at, doc, ids, keys, order, own, several, table, slot) ->
         ok = many[(least[:, back] < ids[doc[many]]) & (left[many] >= back) & (right[many] >= SIDE - back)]
         np.add.at(step, at[ok] - back, 1)
         np.add.at(step, at[ok] - back + LENGTH, -1)
+
+
+def oracle(length: int = LENGTH) -> str:
+    """The same in the SQL of an embedded database, string by string (for small tables)."""
+    return f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- in short pieces first, as a position in a long text is found by counting
+q AS (SELECT doc_id, o, substr(h, 2 * o + 1, 2 * (256 + {length - 1})) AS h FROM (
+        SELECT doc_id, h, unnest(range(0, length(h) // 2 - {length - 1}, 256)) AS o FROM d WHERE length(h) >= {2 * length})),
+w AS (SELECT doc_id, o + i AS p, substr(h, 2 * i + 1, {2 * length}) AS s FROM (
+        SELECT doc_id, o, h, unnest(range(0, length(h) // 2 - {length - 1})) AS i FROM q)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT doc_id, p FROM w JOIN f USING (s) WHERE least < doc_id),
+g AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {length} THEN 0 ELSE 1 END AS new FROM c),
+r AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+s AS (SELECT doc_id, min(p) AS a, max(p) + {length} AS b FROM r GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM s),
+t AS (SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+             string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS head FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)"""
