@@ -8,8 +8,9 @@ Jaccard similarity. Bands of ``ROWS`` coordinates make candidates, which are ver
 
 Copies (equal sets) are one class with one node from the start. A bucket of a band links each member
 to one hub, not all pairs; what the hubs leave in different components is tried again with other
-hubs, and last, what then still lies apart in a bucket, pair by pair. So no link between different
-components is lost, and a large group costs a few times its size.
+hubs, then with the center of its family (all that buckets connect). What is still apart meets only
+where its differences from the center agree (``_far_pairs``), which loses no similar pair. So no link
+between different components is lost, and a large group costs a few times its size.
 
 At a similarity of 0.8 a pair shares no band with probability 5e-8, at 0.85 with 6e-11.
 
@@ -34,7 +35,7 @@ from tidemill.llm.common import settled
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 T = BANDS * ROWS
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 _MEMO = 500_000
 _ODD = np.random.default_rng(11).integers(1, 2**63, size=2 * T + SHINGLE + ROWS + 1, dtype=np.uint64) | np.uint64(1)
 _WORDS: dict[bytes, int] = {}
@@ -77,7 +78,7 @@ def sketch(items: np.ndarray, t: int = T) -> np.ndarray:
     round in its top byte and a hash below."""
     out = np.full(t, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(2 * t):
-        h = _mixed(items * _ODD[SHINGLE + i % (2 * t)] + np.uint64(i))
+        h = _mixed(items * _ODD[SHINGLE + i % (2 * T)] + np.uint64(i))
         value = (np.uint64(i) << np.uint64(56)) | (h >> np.uint64(8))
         if i < t:
             np.minimum.at(out, (h % np.uint64(t)).astype(np.int64), value)
@@ -180,8 +181,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _hub_pairs(buckets: DataFrame, number: int) -> DataFrame:
-    """In each bucket with several labels: one hub, paired with all members of other labels."""
-    order = F.struct(F.xxhash64("digest", F.lit(number)).alias("h"), "digest", "label", "n")
+    """In each bucket with several labels: one hub, paired with all members of other labels.
+
+    First the hub is the member with most company in its buckets: copies of a text differ from it
+    each in its own way, so the text they come from has their most frequent bands. Later it is
+    any member."""
+    first = -F.col("company") if number == 0 else F.xxhash64("digest", F.lit(number))
+    order = F.struct(first.alias("h"), "digest", "label", "n")
     hubs = buckets.groupBy("band").agg(F.min(order).alias("_hub"), F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l <> _m")
     return _distinct_pairs(buckets.join(hubs.select("band", "_hub"), "band"), "_hub")
 
@@ -192,6 +198,72 @@ def _distinct_pairs(joined: DataFrame, other: str) -> DataFrame:
         F.least("digest", o["digest"]).alias("a"), F.greatest("digest", o["digest"]).alias("b"), "n", o["n"].alias("_on")).distinct()
 
 
+def _relabelled(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``label``: the root of a digest's component so far."""
+    if roots is None:
+        return rows.withColumn("label", F.col("digest"))
+    label = roots.select(F.col("node").alias("digest"), F.col("root").alias("_root"))
+    return rows.drop("label").join(label, "digest", "left").withColumn("label", F.coalesce("_root", "digest")).drop("_root")
+
+
+def _families(near: DataFrame, buckets: DataFrame, links: DataFrame | None) -> DataFrame:
+    """For the members of buckets with several labels: the family (what buckets connect, similar or
+    not) and its center, the member with most links: family, digest, n, center, center_n."""
+    members = buckets.select("digest", "n", "company").distinct().join(
+        near.select(F.col("node").alias("digest"), F.col("root").alias("family")), "digest")
+    if links is None:
+        degree = members.select("digest", F.lit(0).cast("long").alias("_links"))
+    else:
+        degree = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("_links"))
+    ranked = members.join(degree, "digest", "left").groupBy("family").agg(
+        F.max(F.struct(F.coalesce("_links", F.lit(0)).alias("l"), "company", F.col("digest").alias("center"), F.col("n").alias("center_n"))).alias("_c"))
+    return settled(members.join(ranked, "family").select("family", "digest", "n", "_c.center", "_c.center_n"))
+
+
+def _far_pairs(families: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different labels that may be similar, of which one is not with its family's center.
+
+    Each member is written as its difference D from the center's set. Two sets of sizes n, m are
+    similar if they differ in at most e = (n + m)(100 - percent)/(100 + percent) elements, and they
+    differ in |Dx| + |Dy| - 2 |Dx & Dy|. So similar members share at least o = (|Dx| + |Dy| - e)/2
+    elements of their differences, hence one among the first |D| - o + 1 of each in a common order.
+    (If o is not positive, both are similar to the center, which is known by now.) Members differ
+    from the center mostly in elements of their own, which come first, so few pairs meet, where
+    the sets themselves share nearly all their elements.
+    """
+    labelled = _relabelled(families, roots)
+    center = _relabelled(families.select(F.col("center").alias("digest")).distinct(), roots)
+    labelled = labelled.join(center.select(F.col("digest").alias("center"), F.col("label").alias("_center_label")), "center")
+
+    def differences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for x, c, n in zip(f["_sx"], f["_sc"], f["n"]):
+                x, c = np.frombuffer(x, np.uint64), np.frombuffer(c, np.uint64)
+                own, lacking = np.setdiff1d(x, c, assume_unique=True), np.setdiff1d(c, x, assume_unique=True)
+                first = np.concatenate([own, lacking])[: (100 - percent) * n // percent + 1]
+                out.append((len(own) + len(lacking), first.view(np.int64)))
+            yield f.drop(columns=["_sx", "_sc"]).assign(d=[o[0] for o in out], tokens=[o[1] for o in out])
+
+    both = labelled.join(sets.select("digest", F.col("items").alias("_sx")), "digest").join(
+        sets.select(F.col("digest").alias("center"), F.col("items").alias("_sc")), "center")
+    both = both.select("family", "digest", "label", "n", (F.col("label") != F.col("_center_label")).alias("far"), "_sx", "_sc")
+    with _small_batches(families, 256):
+        written = settled(both.mapInPandas(
+            differences, "family binary, digest binary, label binary, n long, far boolean, d long, tokens array<long>"))
+    x = written.select("*", F.posexplode("tokens").alias("at", "token")).drop("tokens")
+    y = x.select(*(F.col(c).alias(f"y_{c}") for c in x.columns))
+    apart = F.floor((F.col("n") + F.col("y_n")) * (100 - percent) / (100 + percent))
+    shared = F.ceil((F.col("d") + F.col("y_d") - apart) / 2)
+    joined = x.filter("far").join(
+        y, (F.col("family") == F.col("y_family")) & (F.col("token") == F.col("y_token")) & (F.col("label") != F.col("y_label"))
+        & (~F.col("y_far") | (F.col("digest") < F.col("y_digest")))
+        & (F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * percent)
+        & (F.col("at") <= F.col("d") - shared) & (F.col("y_at") <= F.col("y_d") - shared))
+    return joined.select(F.least("digest", "y_digest").alias("a"), F.greatest("digest", "y_digest").alias("b"),
+                         "n", F.col("y_n").alias("_on")).distinct()
+
+
 def _long_enough(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(F.least("n", "_on") * 100 >= F.greatest("n", "_on") * percent).select("a", "b")
 
@@ -203,8 +275,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = settled(own.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     exploded = classes.select("digest", "n", F.explode("bands").alias("band"))
-    shared = exploded.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("band")
-    buckets = settled(exploded.join(shared, "band").select("band", "digest", "n", F.col("digest").alias("label")))
+    shared = exploded.groupBy("band").agg(F.count(F.lit(1)).alias("_in")).filter("_in > 1")
+    met = settled(exploded.join(shared, "band").select("band", "digest", "n", "_in"))
+    company = met.groupBy("digest").agg(F.sum("_in").alias("company"))
+    buckets = settled(met.join(company, "digest").select("band", "digest", "n", "company", F.col("digest").alias("label")))
     members = classes.join(buckets.select("digest").distinct(), "digest", "left_semi").select("digest", F.col("rep").alias("doc_id"))
 
     def sets_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,13 +293,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     with _small_batches(docs, 2000):
         sets = settled(texts.mapInPandas(sets_of, "digest binary, items binary"))
 
-    links, tested, roots = None, None, None
-    for number in range(HUB_ROUNDS + 1):
+    links, tested, roots, families = None, None, None, None
+    for number in range(HUB_ROUNDS + 2):
         if number < HUB_ROUNDS:
             pairs = _hub_pairs(buckets, number)
+        elif buckets.isEmpty():
+            break
+        elif number == HUB_ROUNDS:
+            families = _families(components(families), buckets, links)
+            pairs = families.filter("digest <> center").select(
+                F.least("digest", "center").alias("a"), F.greatest("digest", "center").alias("b"), "n", F.col("center_n").alias("_on"))
         else:
-            right = buckets.select("band", F.struct("digest", "label", "n").alias("_other"))
-            pairs = _distinct_pairs(buckets.join(right, "band").filter(F.col("digest") < F.col("_other.digest")), "_other")
+            pairs = _far_pairs(families, roots, sets, percent)
+        if number == 0:
+            families = pairs = settled(pairs)  # each bucket's members are joined here, similar or not
         pairs = _long_enough(pairs, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -238,8 +319,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         if not new.isEmpty():
             roots = components(links)
         if number < HUB_ROUNDS and roots is not None:
-            label = roots.select(F.col("node").alias("digest"), F.col("root").alias("_root"))
-            relabelled = buckets.drop("label").join(label, "digest", "left").withColumn("label", F.coalesce("_root", "digest")).drop("_root")
+            relabelled = _relabelled(buckets, roots)
             mixed = relabelled.groupBy("band").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l <> _m").select("band")
             buckets = settled(relabelled.join(mixed, "band"))
     if roots is None:
@@ -253,3 +333,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def oracle(percent: int, words: int = SHINGLE) -> str:
+    """The same in the SQL of an embedded database, from all pairs that share a shingle (for small
+    tables)."""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {words - 1}], ' ') AS x FROM (
+        SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id),
+m AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)"""
