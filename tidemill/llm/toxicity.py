@@ -43,6 +43,8 @@ MAX_ROWS = 20_000
 MAX_FEATURES = 4096
 #: Least likelihood ratio statistic of a feature (chance exceeds it once in 100,000 features).
 LEAST_G = 20.0
+#: How many times more often it must stand in toxic texts; common words of longer texts don't.
+LEAST_RATIO = 3.0
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
 _MEMO = 400_000
@@ -87,7 +89,7 @@ def swaps(words: set[str], groups: Sequence[Sequence[str]] = IDENTITY) -> list[t
 
 def fit_logistic(
     rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], size: int,
-    penalty: float, ridge: float = 1e-4, steps: int = 400, rate: float = 0.2,
+    penalty: float, ridge: float = 1e-5, steps: int = 800, rate: float = 0.2,
 ) -> tuple[float, np.ndarray]:
     """Full-batch fit. ``rows``: active features of each text; ``pairs``: those of a text and of
     its counterfactual. Both classes weigh the same."""
@@ -162,7 +164,7 @@ def train(
                    + part(totals[1] - F.col("bad"), n - held, totals[1]) + part(totals[0] - F.col("clean"), n - held, totals[0]))
     terms = {t for g in groups for t in g}
     own = sorted({f for t in terms for f in features_of(t)})
-    more_often = F.col("bad") * totals[0] > F.col("clean") * totals[1]
+    more_often = F.col("bad") * totals[0] > F.col("clean") * totals[1] * LEAST_RATIO
     best = [r["feature"] for r in counts.filter(more_often).withColumn("_g", telling).filter(F.col("_g") >= LEAST_G)
             .orderBy(F.desc("_g"), "feature").limit(max(0, max_features - len(own))).collect()]
     names = sorted({*best, *own})
