@@ -75,11 +75,11 @@ def shingles(text: str | None) -> np.ndarray:
 
 def sketch(items: np.ndarray, t: int = T) -> np.ndarray:
     """The fast similarity sketch of a non-empty set: t filled coordinates. A coordinate is the
-    round in its top byte and a hash below."""
+    round in its top 16 bits and a hash below."""
     out = np.full(t, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(2 * t):
         h = _mixed(items * _ODD[SHINGLE + i % (2 * T)] + np.uint64(i))
-        value = (np.uint64(i) << np.uint64(56)) | (h >> np.uint64(8))
+        value = (np.uint64(i) << np.uint64(48)) | (h >> np.uint64(16))
         if i < t:
             np.minimum.at(out, (h % np.uint64(t)).astype(np.int64), value)
         else:
