@@ -260,7 +260,7 @@ def test_counterfactual_penalty_calms_identity_terms(spark):
 
     assert gap(with_) < 0.5 * gap(without)
     assert with_.score("w1 w2 vermin") >= toxicity.THRESHOLD > with_.score("w1 w2")
-    assert toxicity.train(docs, labels.filter("toxic = 0")).score("muslims vermin") == 0.0
+    assert toxicity.train(docs, labels.filter("toxic = 0")).score("muslims vermin") < 1e-9
 
 
 def test_held_out_labels_are_never_learnt(spark):

@@ -11,7 +11,7 @@ Scoring reads whole texts where they are, without a shuffle.
 
 Defined cases: null or empty text is scored as a text without words; null ids, repeated rows and
 other columns don't matter; a document with several labels counts as toxic if one says so; null
-labels are left out; without labels of both kinds every score is 0.
+labels are left out; without labels of both kinds every score is 0 (below 1e-200).
 """
 
 from __future__ import annotations
