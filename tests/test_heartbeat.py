@@ -80,3 +80,35 @@ def test_rows_thirty_days_late_are_not_lost(spark, tmp_path):
     assert ids(stream(spark, str(tmp_path))) == simple(new)
     frame(spark, late).write.mode("append").parquet(str(tmp_path / "in"))
     assert ids(stream(spark, str(tmp_path))) == simple(new + late)
+
+
+def test_a_new_checkpoint_adds_to_a_root(spark, tmp_path, monkeypatch):
+    """Three checkpoints, one of which breaks, is overtaken by another and then run again."""
+    import tidemill.streaming.heartbeat as module
+
+    rng = random.Random(8)
+    rows = [(f"d{rng.randrange(3)}", rng.uniform(0, 900), i, rng.random() < 0.1) for i in range(240)]
+    root = str(tmp_path / "root")
+
+    def run(part):
+        folder = str(tmp_path / f"in{part}")
+        made = frame(spark, rows[part::3])
+        made.write.mode("ignore").parquet(folder)
+        source = spark.readStream.schema(made.schema).parquet(folder)
+        stream_heartbeat_downsample(source, root, str(tmp_path / f"c{part}")).awaitTermination()
+
+    def kept():
+        return ids(read_heartbeats(spark, root, tie_type="int"))
+
+    def broken(*_, **__):
+        raise OSError("no room")
+
+    run(0)
+    with monkeypatch.context() as m:
+        m.setattr(module, "heartbeat_downsample", broken)
+        with pytest.raises(Exception, match="no room"):
+            run(1)
+    run(2)
+    run(1)
+    assert kept() == simple(rows)
+    assert read_heartbeats(spark, root, tie_type="int").count() == len(simple(rows))

@@ -159,3 +159,25 @@ def test_dead_letters_of_a_retried_batch_count_once(spark, tmp_path, monkeypatch
     assert read_dead_letters(spark, landing).count() == 1
     stream_to_landing(source, landing, str(tmp_path / "c"), {"availableNow": True}).awaitTermination()
     assert read_dead_letters(spark, landing).count() == 1 and read_landing(spark, landing).count() == 1
+
+
+def test_two_checkpoints_share_a_landing_and_its_counts(spark, tmp_path):
+    """Every checkpoint counts from 0, so does one made anew at the path of an old one."""
+    import shutil
+
+    from tidemill.streaming.monitors import read_dlq_volume, stream_dlq_volume
+
+    landing, counts = str(tmp_path / "landing"), str(tmp_path / "counts")
+    at = spark.range(2).selectExpr("timestamp_seconds(id) AS at")
+    at.write.parquet(str(tmp_path / "at"))
+    for i, name in enumerate(("c1", "c2", "c2")):
+        checkpoint = tmp_path / name
+        shutil.rmtree(checkpoint, ignore_errors=True)
+        incoming = str(tmp_path / f"in{i}")
+        lines(spark, [sensor("d", 0, i), f"junk {i}"]).coalesce(1).write.text(incoming)
+        stream_to_landing(spark.readStream.format("text").load(incoming), landing, f"{checkpoint}/land").awaitTermination()
+        dead = {r["raw_body"] for r in read_dead_letters(spark, landing).collect()}
+        assert dead == {f"junk {j}" for j in range(i + 1)} and read_landing(spark, landing).count() == i + 1
+        source = spark.readStream.schema(at.schema).parquet(str(tmp_path / "at"))
+        stream_dlq_volume(source, counts, f"{checkpoint}/count", "at").awaitTermination()
+        assert [r["n_rejects"] for r in read_dlq_volume(spark, counts).collect()] == [2 * (i + 1)]

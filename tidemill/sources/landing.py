@@ -55,9 +55,10 @@ def write_landing(events: DataFrame, path: str, at: Column | None = None) -> Non
     _dated(to_body(events), ingested).write.mode("append").partitionBy(*DATE_PARTITIONS).text(path)
 
 
-def write_dead_letters(rejects: DataFrame, path: str, batch: int | None = None) -> None:
+def write_dead_letters(rejects: DataFrame, path: str, batch: str | None = None) -> None:
     """Append (raw_body, error_reason, dlq_timestamp) to the landing's dead-letter folder; with the
-    number of a stream's ``batch``, to a folder of its own, which a second run replaces."""
+    name of a stream's ``batch`` (``store.batch_name``: no other stream's batch has it), to a folder
+    of its own, which a second run replaces."""
     folder = f"{path}/{DEAD_LETTER_FOLDER}" + ("" if batch is None else f"/batch={batch}")
     _dated(rejects, F.col("dlq_timestamp")).write.mode("append" if batch is None else "overwrite").partitionBy(
         *DATE_PARTITIONS

@@ -1,9 +1,10 @@
 """Heartbeat sampling on a stream: the batch operator over what a micro-batch changes.
 
-Three tables are kept, each batch under its own number: the rows seen, the rows kept, and for each
+Three tables are kept, each batch under its own name and place: the rows seen, the rows kept, and for each
 device of a batch the time from which the batch chose anew. A device's choices from that time on
 depend only on its last kept row before and its rows since, so these are read back, also for rows
-that come late; the choices of earlier batches from that time on are void.
+that come late; the choices of earlier batches from that time on are void. Batches are placed in the
+order in which they run, whichever checkpoint they are of; streams of one root run one at a time.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.heartbeat import heartbeat_downsample
 from tidemill.schema import HEARTBEAT_SECONDS
-from tidemill.streaming.store import AVAILABLE_NOW, read_batches, write_batch
+from tidemill.streaming.store import AVAILABLE_NOW, batch_name, next_order, read_batches, stream_id, write_batch
 
 _ROWS = "k string, tie {tie}, at timestamp, breach boolean"
 _RESETS = "k string, since timestamp"
@@ -46,20 +47,27 @@ def stream_heartbeat_downsample(
         spark = batch.sparkSession
         rows = batch.filter(F.col(at).isNotNull()).select(
             F.col(key).cast("string").alias("k"), F.col(tie).alias("tie"), F.col(at).alias("at"), F.col(breach).alias("breach"))
-        write_batch(rows, f"{root}/rows", number)
-        seen = read_batches(spark, f"{root}/rows", _schema(tie_type), number + 1)
-        new = seen.filter(F.col("batch") == number)
-        write_batch(new.groupBy("k").agg(F.min("at").alias("since")), f"{root}/resets", number)
-        since = read_batches(spark, f"{root}/resets", _RESETS, number + 1).filter(F.col("batch") == number).select(
+        stream = stream_id(spark, checkpoint)
+        place, broken = next_order(spark, f"{root}/rows", _schema(tie_type), stream, number)
+        # What a broken run left is emptied, its rows last: other streams' batches may follow it.
+        for old in broken:
+            for table, schema in (("kept", _schema(tie_type)), ("resets", _RESETS), ("rows", _schema(tie_type))):
+                write_batch(spark.createDataFrame([], schema), f"{root}/{table}", old)
+        name = batch_name(stream, number, place)
+        write_batch(rows, f"{root}/rows", name)
+        seen = read_batches(spark, f"{root}/rows", _schema(tie_type), place + 1)
+        new = seen.filter(F.col("batch") == place)
+        write_batch(new.groupBy("k").agg(F.min("at").alias("since")), f"{root}/resets", name)
+        since = read_batches(spark, f"{root}/resets", _RESETS, place + 1).filter(F.col("batch") == place).select(
             F.col("k").alias("rk"), "since")
         same = F.col("k").eqNullSafe(F.col("rk"))
         again = seen.join(since, same & (F.col("at") >= F.col("since"))).select("k", "tie", "at", "breach", F.lit(False).alias("old"))
         # The last kept row stands as a breach: it is kept whatever comes before.
-        last = _valid(spark, root, tie_type, number).join(since, same & (F.col("at") < F.col("since"))).groupBy("k").agg(
+        last = _valid(spark, root, tie_type, place).join(since, same & (F.col("at") < F.col("since"))).groupBy("k").agg(
             F.max_by(F.struct("tie", "at"), F.struct("at", "tie")).alias("r")).select(
             "k", "r.tie", "r.at", F.lit(True).alias("breach"), F.lit(True).alias("old"))
         kept = heartbeat_downsample(again.unionByName(last), "k", "at", "breach", interval, "tie")
-        write_batch(kept.filter(~F.col("old")).select("k", "tie", "at", "breach"), f"{root}/kept", number)
+        write_batch(kept.filter(~F.col("old")).select("k", "tie", "at", "breach"), f"{root}/kept", name)
 
     return df.writeStream.foreachBatch(choose).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

@@ -7,10 +7,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.envelope import annotate_envelope, reject_rows, valid_rows
 from tidemill.sources.landing import bronze_from_landing, read_landing, write_dead_letters, write_landing
-from tidemill.streaming.store import AVAILABLE_NOW
+from tidemill.streaming.store import AVAILABLE_NOW, batch_name, stream_id
 
 
-def _land(batch: DataFrame, number: int, landing: str) -> None:
+def _land(batch: DataFrame, name: str, landing: str) -> None:
     """Valid rows to the landing, the others to the dead letters of this batch.
 
     A batch that is run again appends the same events again, with the same ids, of which Silver
@@ -18,7 +18,7 @@ def _land(batch: DataFrame, number: int, landing: str) -> None:
     """
     annotated = annotate_envelope(batch.select("value")).persist()
     try:
-        write_dead_letters(reject_rows(annotated), landing, batch=number)
+        write_dead_letters(reject_rows(annotated), landing, batch=name)
         write_landing(valid_rows(annotated), landing)
     finally:
         annotated.unpersist()
@@ -27,9 +27,13 @@ def _land(batch: DataFrame, number: int, landing: str) -> None:
 def stream_to_landing(
     lines: DataFrame, landing: str, checkpoint: str, trigger: dict = AVAILABLE_NOW
 ) -> StreamingQuery:
-    """Validate a stream of raw lines (column ``value``) into a landing tree."""
+    """Validate a stream of raw lines (column ``value``) into a landing tree, which several streams
+    may share."""
+    def land(batch: DataFrame, number: int) -> None:
+        _land(batch, batch_name(stream_id(batch.sparkSession, checkpoint), number), landing)
+
     return (
-        lines.writeStream.foreachBatch(lambda batch, number: _land(batch, number, landing))
+        lines.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

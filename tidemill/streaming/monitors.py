@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.scores import seconds_between
-from tidemill.streaming.store import AVAILABLE_NOW, read_batches, write_batch
+from tidemill.streaming.store import AVAILABLE_NOW, batch_name, read_batches, stream_id, write_batch
 
 _COUNTS = "window_start timestamp, n long, worst double"
 
@@ -22,7 +22,8 @@ def _count_windows(
     def add(batch: DataFrame, number: int) -> None:
         counts = batch.groupBy(F.window(at, width)).agg(
             F.count(F.lit(1)).alias("n"), F.max(worst).cast("double").alias("worst"))
-        write_batch(counts.select(F.col("window.start").alias("window_start"), "n", "worst"), table, number)
+        write_batch(counts.select(F.col("window.start").alias("window_start"), "n", "worst"), table, batch_name(
+            stream_id(batch.sparkSession, checkpoint), number))
 
     return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
