@@ -43,8 +43,9 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}}){_TITLE} {_NAME}(?: {_NAME}){{0,2}}",
 }
 COMBINED = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Every entity has an @, two digits or a form of address: texts without are done with one look.
-HINT = r"@|\d{2}|\d\.\d|" + _TITLE + r" \p{Lu}"
+#: Every entity has an @, two digits with at most a blank, hyphen or dot between them, or a form of
+#: address: texts without are done with one look.
+HINT = r"@|\d[ .-]?\d|" + _TITLE + r" \p{Lu}"
 _KINDS = (*PATTERNS, "given_m", "given_f", "surname")
 
 _LATIN = "ba be bi bo da de di do fa fe ga go ha he ja jo ka ke la le li lo ma me mi mo na ne no pa pe ra re ri ro sa se si ta te va ve vi".split()
