@@ -21,12 +21,13 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near duplicates (five words, 0.8), and the
-    rows without an id. Rows with equal ids are versions of one document, of which one stays."""
+    rows without an id. Texts that share an id are documents of their own; of rows equal in id and
+    text one stays."""
     apply_semantics(spark)
-    found = minhash.near_duplicates(docs, percent=80)
-    ids = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"))
-    one = rows.join(ids, F.col("own") == F.col("kept_id"), "left_semi").dropDuplicates(["own"])
+    ids = minhash.survivors(docs, percent=80).select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("mark"))
+    same = (F.col("own") == F.col("kept_id")) & (F.col("mark") == F.col("kept_mark"))
+    one = rows.join(ids, same, "left_semi").dropDuplicates(["own", "mark"])
     return one.unionByName(rows.filter(F.col("own").isNull())).select("row.*")
 
 

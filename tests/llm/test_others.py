@@ -196,3 +196,19 @@ def test_every_entity_satisfies_the_hint(spark):
     new = replaced(spark, texts)
     for a, b in zip(texts, new):
         assert a != b and re.sub(r"\d", "0", a) == re.sub(r"\d", "0", b)
+
+
+def test_texts_that_share_an_id_are_told_apart(spark, sf_dir):
+    """A near copy under a kept id goes, and the other texts of that id stay."""
+    rng = random.Random(6)
+
+    def made():
+        return " ".join(f"w{rng.randrange(10_000)}" for _ in range(200))
+
+    a, b, c = made(), made(), made()
+    rows = [(1, b), (5, a), (5, b + " tail"), (5, c), (5, c + " tail"), (5, c), (5, ""), (5, a), (6, a), (None, b)]
+    for order in (rows, rows[::-1]):
+        got = corpus_pipeline.without_near_duplicates(spark, frame(spark, order), sf_dir).collect()
+        kept = [(r.doc_id, r.text) for r in got]
+        assert len(kept) == 5 and {(1, b), (5, a), (5, ""), (None, b)} < set(kept)
+        assert len({(5, c), (5, c + " tail")} & set(kept)) == 1

@@ -120,7 +120,7 @@ def _small_batches(df: DataFrame, rows: int):
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, n, digest (of the set; null if empty), bands."""
+    """doc_id, mark (hash of the text), n, digest (of the set; null if empty), bands."""
     @F.pandas_udf("n long, digest binary, bands array<long>")
     def measure(texts: pd.Series) -> pd.DataFrame:
         out = []
@@ -132,7 +132,7 @@ def features(docs: DataFrame) -> DataFrame:
                 out.append((0, None, None))
         return pd.DataFrame(out, columns=["n", "digest", "bands"])
 
-    return docs.select("doc_id", measure("text").alias("f")).select("doc_id", "f.*")
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), measure("text").alias("f")).select("doc_id", "mark", "f.*")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -270,6 +270,21 @@ def _long_enough(pairs: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each document (doc_id, text)."""
+    return _grouped(docs, percent).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def survivors(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """(doc_id, mark) of the documents with an id that stay, ``mark`` being a hash of the text: of each
+    group the least id with the least hash, as an id may repeat with other texts, and all texts
+    without words."""
+    rows = _grouped(docs, percent).filter(F.col("doc_id").isNotNull()).select("doc_id", "mark", "root")
+    least = rows.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("m"))
+    return least.select("m.*").unionByName(rows.filter(F.col("root").isNull()).select("doc_id", "mark")).distinct()
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, mark, n_shingles, component_id, root (of the group of sets; null without words)."""
     found = settled(features(docs))
     own = found.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = settled(own.groupBy("digest").agg(
@@ -323,16 +338,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
             mixed = relabelled.groupBy("band").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l <> _m").select("band")
             buckets = settled(relabelled.join(mixed, "band"))
     if roots is None:
-        classes = classes.select("digest", F.col("rep").alias("component"))
+        classes = classes.select("digest", F.col("rep").alias("component"), F.col("digest").alias("root"))
     else:
         labelled = classes.select("digest", "rep").join(
             roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
         least = labelled.groupBy("root").agg(F.min("rep").alias("component"))
-        classes = settled(labelled.join(least, "root").select("digest", "component"))
-    named = found.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left")
+        classes = settled(labelled.join(least, "root").select("digest", "component", "root"))
+    named = found.select("doc_id", "mark", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return named.select("doc_id", "mark", "n_shingles", component.alias("component_id"), "root")
 
 
 def oracle(percent: int, words: int = SHINGLE) -> str:
