@@ -343,3 +343,21 @@ def test_secret_spans_are_exact(spark):
         want = sorted((m.start(), k, f"{name}:{m.start()}:{m.end()}") for k, (name, p, g, n) in enumerate(base)
                       for m in p.finditer(t) if len(m.group(g)) >= n)
         assert r.spans == ",".join(w[2] for w in want)
+
+
+def test_repeated_ids_do_not_add_rows_to_the_fit(spark, monkeypatch):
+    """A third of the rows share a labelled id; the fit in the driver sees one text for each id."""
+    rows = [(i, f"w{i % 7} " + ("vermin" if i % 2 else "kind")) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    hot = rows + [(0, f"women w{i} kind") for i in range(60)] + rows[:20]
+    seen, fit = [], toxicity.fit_logistic
+
+    def counted(rows, *rest, **more):
+        seen.append(len(rows))
+        return fit(rows, *rest, **more)
+
+    monkeypatch.setattr(toxicity, "fit_logistic", counted)
+    for given in (rows, hot):
+        model = toxicity.train(spark.createDataFrame(given, "doc_id long, text string"), labels)
+        assert model.score("vermin") >= toxicity.THRESHOLD > model.score("kind")
+    assert seen == [120, 120]

@@ -6,7 +6,7 @@ of its group; next to the usual loss the fit minimises ``penalty * (score(x) - s
 so that a mention of a group alone moves the score as little as possible.
 
 The model is fitted on at most ``max_rows`` labelled rows, those with the smallest hashes of their
-id; features and weights are at most ``max_features``, which also bounds what is sent to the tasks.
+id, with one text for each id (the least, if texts share an id); features and weights are at most ``max_features``, which also bounds what is sent to the tasks.
 Scoring reads whole texts where they are, without a shuffle.
 
 Defined cases: null or empty text is scored as a text without words; null ids, repeated rows and
@@ -135,8 +135,10 @@ def train(
         F.max("toxic").cast("int").alias("toxic")
     ).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_rows)
     sample = settled(chosen)
-    # At most max_rows small rows, so the texts need not move.
-    texts = docs.select("doc_id", "text").dropna(subset=["doc_id"]).join(F.broadcast(sample), "doc_id")
+    # At most max_rows small rows, so only their texts move. An id that repeats has one text, the least:
+    # the rows of the fit, which go to the driver, are bounded by the sample.
+    texts = docs.select("doc_id", "text").dropna(subset=["doc_id"]).join(F.broadcast(sample), "doc_id").groupBy(
+        "doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text"))
     texts = settled(texts.select("toxic", F.coalesce("text", F.lit("")).alias("text")))
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
