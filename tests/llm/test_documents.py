@@ -361,3 +361,23 @@ def test_repeated_ids_do_not_add_rows_to_the_fit(spark, monkeypatch):
         model = toxicity.train(spark.createDataFrame(given, "doc_id long, text string"), labels)
         assert model.score("vermin") >= toxicity.THRESHOLD > model.score("kind")
     assert seen == [120, 120]
+
+
+def test_a_document_is_cut_only_where_no_sequence_has_room():
+    """Against the rule by a look at all sequences."""
+    rng = np.random.default_rng(4)
+    for lengths, capacity in ((rng.integers(5, 900, 1500), 2048), (rng.integers(1, 90, 400), 64), (np.array([], dtype=int), 64)):
+        rest = sorted(((n % capacity, d, n - n % capacity) for d, n in enumerate(lengths.tolist()) if n % capacity), key=lambda r: (-r[0], r[1]))
+        first, left = sum(n // capacity for n in lengths.tolist()), sum(r[0] for r in rest)
+        open_ = {first + i: [0.0, min(capacity, left - i * capacity)] for i in range(-(-left // capacity))}
+        want = []
+        for n, doc, start in rest:
+            while n:
+                fitting = [s for s, (_, room) in open_.items() if room >= n] or [s for s, (_, room) in open_.items() if room]
+                to = min(fitting, key=lambda s: (open_[s][0], s))
+                taken = min(n, open_[to][1])
+                open_[to] = [open_[to][0] + taken + packing.QUADRATIC * taken * taken, open_[to][1] - taken]
+                want.append((doc, start, taken, to))
+                n, start = n - taken, start + taken
+        got = [p[:4] for p in packing.assign(lengths, capacity) if p[3] >= first]
+        assert got == want

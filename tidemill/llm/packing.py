@@ -4,8 +4,8 @@ A shard of documents (consecutive rows of a partition, about ``shard_tokens`` to
 the task that reads it, without a shuffle: documents fill whole sequences first, the rest are pieces
 shorter than a sequence. A piece of n tokens costs ``n + quadratic * n * n`` (the linear layers and
 attention). Pieces, in descending order, go to the sequence with the lowest cost among those with
-room left, held in a heap; if none of the cheapest few takes it whole, it is cut to fill the
-cheapest one. A shard has as many sequences as its tokens need, so only its last one is padded.
+room for all of it, found by an exact index over the room left; only if there is none, it is cut to
+fill the cheapest one. A shard has as many sequences as its tokens need, so only its last one is padded.
 
 Defined cases: null or empty text is a document of the end token alone; null ids and repeated rows
 are documents like others; an empty table has no pieces; texts are encoded whole, and cut at any
@@ -26,11 +26,10 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 CAPACITY = 2048
 QUADRATIC = 1.0 / 4096
-#: How many of the cheapest sequences are asked for room before a piece is cut.
-TRIES = 8
 SHARD_TOKENS = 4_000_000
 _SHARD_BITS = 36
 
+_NONE = (float("inf"), -1, 0)
 _ENCODERS: dict[str, object] = {}
 
 
@@ -48,6 +47,44 @@ def encoder(path: str, pattern: str):
     return _ENCODERS[path]
 
 
+class _Rooms:
+    """Sequences in a heap of costs for each room left, and a tree of the cheapest over the rooms."""
+
+    def __init__(self, capacity: int):
+        self.size = 1 << capacity.bit_length()
+        self.heaps: dict[int, list[tuple[float, int, int]]] = {}
+        self.tree = [_NONE] * (2 * self.size)
+
+    def add(self, cost: float, sequence: int, room: int) -> None:
+        heap = self.heaps.setdefault(room, [])
+        heapq.heappush(heap, (cost, sequence, room))
+        if heap[0][1] == sequence:
+            self._renew(room)
+
+    def take(self, least: int) -> tuple[float, int, int] | None:
+        """The cheapest sequence with room for ``least``, taken out."""
+        tree, i = self.tree, self.size + least
+        best = tree[i]
+        while i > 1:
+            if not i & 1 and tree[i + 1] < best:
+                best = tree[i + 1]
+            i >>= 1
+        if best is _NONE:
+            return None
+        heapq.heappop(self.heaps[best[2]])
+        self._renew(best[2])
+        return best
+
+    def _renew(self, room: int) -> None:
+        tree, i, heap = self.tree, self.size + room, self.heaps[room]
+        tree[i] = heap[0] if heap else _NONE
+        i >>= 1
+        while i:
+            a, b = tree[2 * i], tree[2 * i + 1]
+            tree[i] = a if a < b else b
+            i >>= 1
+
+
 def assign(lengths: np.ndarray, capacity: int = CAPACITY, quadratic: float = QUADRATIC) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of documents with these lengths."""
     pieces, rest, sequence = [], [], 0
@@ -61,24 +98,18 @@ def assign(lengths: np.ndarray, capacity: int = CAPACITY, quadratic: float = QUA
     rest.sort(key=lambda r: (-r[0], r[1]))
     left = sum(r[0] for r in rest)
     sizes = [capacity] * (left // capacity) + [left % capacity] * bool(left % capacity)
-    heap = [(0.0, sequence + i) for i in range(len(sizes))]
-    room = {sequence + i: size for i, size in enumerate(sizes)}
-    used = dict.fromkeys(room, 0)
+    rooms, used = _Rooms(capacity), {}
+    for i, size in enumerate(sizes):
+        rooms.add(0.0, sequence + i, size)
+        used[sequence + i] = 0
     for n, doc, start in rest:
         while n:
-            seen = []
-            while heap and len(seen) < TRIES and (not seen or room[seen[-1][1]] < n):
-                seen.append(heapq.heappop(heap))
-            at = len(seen) - 1 if room[seen[-1][1]] >= n else 0
-            cost, to = seen.pop(at)
-            for other in seen:
-                heapq.heappush(heap, other)
-            taken = min(n, room[to])
+            cost, to, room = rooms.take(n) or rooms.take(1)
+            taken = min(n, room)
             pieces.append((doc, start, taken, to, used[to]))
             used[to] += taken
-            room[to] -= taken
-            if room[to]:
-                heapq.heappush(heap, (cost + taken + quadratic * taken * taken, to))
+            if room > taken:
+                rooms.add(cost + taken + quadratic * taken * taken, to, room - taken)
             n, start = n - taken, start + taken
     return pieces
 
