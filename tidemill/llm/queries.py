@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity
+from tidemill.llm import chat, collocations, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity
 from tidemill.llm.common import table
 from tidemill.session import apply_semantics
 
@@ -79,10 +79,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_perspectives, op3_secret_scans, op4_nearest_neighbours, op5_suffix_dedup,
-        op6_minhash_dedup, op7_quality_outliers, op8_pii_surrogates, op9_packing, op10_mixing)
+        op6_minhash_dedup, op7_quality_outliers, op8_pii_surrogates, op9_packing, op10_mixing,
+        op11_collocations)
 }
 
 ORACLES: dict[str, str] = {
@@ -92,4 +98,5 @@ ORACLES: dict[str, str] = {
     "op5_suffix_dedup": suffixes.oracle(),
     "op6_minhash_dedup": minhash.oracle(85),
     "op10_mixing": mixing.oracle(),
+    "op11_collocations": collocations.oracle(),
 }
