@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, collocations, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity
+from tidemill.llm import chat, collocations, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity, whitening
 from tidemill.llm.common import table
 from tidemill.session import apply_semantics
 
@@ -84,11 +84,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return whitening.by_component(whitening.whitened(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_perspectives, op3_secret_scans, op4_nearest_neighbours, op5_suffix_dedup,
         op6_minhash_dedup, op7_quality_outliers, op8_pii_surrogates, op9_packing, op10_mixing,
-        op11_collocations)
+        op11_collocations, op12_whitening)
 }
 
 ORACLES: dict[str, str] = {
