@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, collocations, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity, whitening
+from tidemill.llm import chat, collocations, minhash, mixing, neighbours, outliers, packing, pii, secrets, suffixes, toxicity, warc, whitening
 from tidemill.llm.common import table
 from tidemill.session import apply_semantics
 
@@ -89,11 +89,16 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whitened(table(spark, sf_dir, "embeddings")))
 
 
+def op13_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantics(spark)
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_perspectives, op3_secret_scans, op4_nearest_neighbours, op5_suffix_dedup,
         op6_minhash_dedup, op7_quality_outliers, op8_pii_surrogates, op9_packing, op10_mixing,
-        op11_collocations, op12_whitening)
+        op11_collocations, op12_whitening, op13_warc_bundles)
 }
 
 ORACLES: dict[str, str] = {
@@ -104,4 +109,5 @@ ORACLES: dict[str, str] = {
     "op6_minhash_dedup": minhash.oracle(85),
     "op10_mixing": mixing.oracle(),
     "op11_collocations": collocations.oracle(),
+    "op13_warc_bundles": warc.oracle(),
 }
