@@ -1,7 +1,8 @@
 """Parquet tables published by version, and their compaction.
 
 A table is a folder of versions plus a small pointer file naming the current one. A version is
-written whole, checked, and only then named; readers never see a half-written or failed one.
+written whole, checked, and only then named; readers never see a half-written or failed one. After
+a compaction the pointer also names the large files of older versions that were left as they are.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.expectations import ExpectationFailed, holds
+from tidemill.operators.clustering import z_order
 
 POINTER = "CURRENT"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -38,11 +40,11 @@ def _file_system(spark: SparkSession, path: str):
     return jvm, where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _set_pointer(spark: SparkSession, table: str, version: str) -> None:
+def _set_pointer(spark: SparkSession, table: str, version: str, kept: Sequence[str] = ()) -> None:
     jvm, _, fs = _file_system(spark, table)
     new = jvm.org.apache.hadoop.fs.Path(f"{table}/{POINTER}.{version}")
     out = fs.create(new, True)
-    out.write(bytearray(version.encode()))
+    out.write(bytearray("\n".join([version, *kept]).encode()))
     out.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
@@ -55,12 +57,17 @@ def _set_pointer(spark: SparkSession, table: str, version: str) -> None:
 
 
 def current_version(spark: SparkSession, table: str) -> str:
-    lines = spark.read.text(f"{table}/{POINTER}").limit(1).collect()
-    return lines[0]["value"]
+    """The folder that was written last."""
+    return spark.read.text(f"{table}/{POINTER}").first()["value"]
+
+
+def current_paths(spark: SparkSession, table: str) -> list[str]:
+    """What the current version is made of: folders and files under ``table``."""
+    return [f"{table}/{r['value']}" for r in spark.read.text(f"{table}/{POINTER}").collect() if r["value"]]
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(f"{table}/{current_version(spark, table)}")
+    return spark.read.parquet(*current_paths(spark, table))
 
 
 def write_gold(
@@ -87,9 +94,26 @@ def write_gold(
     return spark.read.parquet(f"{table}/{version}")
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    _, where, fs = _file_system(spark, path)
-    return fs.getContentSummary(where).getLength()
+def file_sizes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, length) of the data files; only the listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.select("path", "length")
+
+
+def plan_bins(files: Sequence[tuple[str, int]], target_bytes: int) -> list[list[str]]:
+    """Groups of files of about ``target_bytes`` each: first fit, the largest first. Files of at least
+    half of that, and groups of one, are left out."""
+    bins: list[tuple[int, list[str]]] = []
+    room: list[int] = []
+    for path, length in sorted((f for f in files if f[1] * 2 < target_bytes), key=lambda f: (-f[1], f[0])):
+        at = next((i for i, left in enumerate(room) if left >= length), None)
+        if at is None:
+            bins.append((0, []))
+            room.append(target_bytes)
+            at = len(room) - 1
+        bins[at] = bins[at][0] + length, [*bins[at][1], path]
+        room[at] -= length
+    return [paths for _, paths in bins if len(paths) > 1]
 
 
 def compact_table(
@@ -98,15 +122,40 @@ def compact_table(
     cluster_by: Sequence[str],
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> DataFrame:
-    """Rewrite the current version into files of about ``target_bytes``, range-clustered.
-
-    Readers keep the old version until the new one is complete.
+    """Rewrite the current version into files of about ``target_bytes``, clustered along a
+    space-filling curve through ``cluster_by``, so that a filter on any of these columns skips files
+    and row groups. Readers keep the old version until the new one is complete.
     """
-    source = f"{table}/{current_version(spark, table)}"
-    n_files = max(1, math.ceil(folder_bytes(spark, source) / target_bytes))
-    rows = spark.read.parquet(source)
-    clustered = rows.repartitionByRange(n_files, *cluster_by).sortWithinPartitions(*cluster_by)
-    return write_gold(clustered, table)
+    paths = current_paths(spark, table)
+    total = file_sizes(spark, paths).agg(F.sum("length")).first()[0] or 0
+    n_files = max(1, math.ceil(total / target_bytes))
+    rows = spark.read.parquet(*paths)
+    order = [z_order(rows, cluster_by).alias("_z"), *cluster_by]
+    return write_gold(_in_order(rows, n_files, order), table)
+
+
+def _in_order(rows: DataFrame, n_files: int, order: Sequence[Column | str]) -> DataFrame:
+    return rows.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+
+
+def compact_small_files(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Merge the files below half of ``target_bytes`` into files of about that size; the others are
+    not touched and stay where they are. What is read and written is bounded by the small files.
+    Rows of a file stay together, so files keep the time range that their ingestion gave them."""
+    files = [(r["path"], r["length"]) for r in file_sizes(spark, current_paths(spark, table)).collect()]
+    bins = plan_bins(files, target_bytes)
+    if not bins:
+        return read_current(spark, table)
+    merged = {path: number for number, paths in enumerate(bins) for path in paths}
+    # one row for each small file: names and numbers only
+    numbers = spark.createDataFrame(list(merged.items()), "_path string, _bin int")
+    rows = spark.read.parquet(*merged).select(F.struct("*").alias("row"), F.col("_metadata.file_path").alias("_of"))
+    binned = rows.join(F.broadcast(numbers), F.col("_of") == F.col("_path")).repartitionById(len(bins), "_bin").select("row.*")
+    version = f"v{uuid.uuid4().hex}"
+    binned.write.parquet(f"{table}/{version}")
+    root = spark.read.format("binaryFile").load(f"{table}/{POINTER}").select("path").first()["path"].removesuffix(POINTER)
+    _set_pointer(spark, table, version, [path.removeprefix(root) for path, _ in files if path not in merged])
+    return read_current(spark, table)
 
 
 def compact_tables(
