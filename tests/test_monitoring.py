@@ -1,7 +1,7 @@
 import pytest
 
 from tidemill.operators.egress import payload_bytes, projected_egress
-from tidemill.operators.monitoring import dlq_volume, ingest_gaps, ingest_lag
+from tidemill.operators.monitoring import dead_letter_ids, dlq_volume, ingest_gaps, ingest_lag
 from tidemill.operators.gold import detection_performance
 from pyspark.sql import functions as F
 
@@ -30,6 +30,36 @@ def test_dead_letter_volume(spark):
     assert [(r["n_rejects"], r["alarm"]) for r in rows] == [(2, True), (1, True)]
 
 
+def test_ids_of_dead_letters_are_read_from_broken_text(spark):
+    bodies = {
+        '{"event_id":"a-1","device_id":"d"} trailing': "a-1", '{"device_id":"d", "event_id" : "a 2"': "a 2",
+        '{"body":"{\\"event_id\\":\\"a-3\\",\\"device_id\\":1}"}': "a-3", '{"event_id":""}': None, '{"event_id":"  "}': None,
+        '{"source_event_id":"x"}': None, '{"event_id":7}': None, "": None, None: None, '{"event_id":"é"': "é",
+    }
+    df = spark.createDataFrame(list(bodies.items()), "raw_body string, want string")
+    assert [r.event_id for r in dead_letter_ids(df).collect()] == list(bodies.values())
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_stream_alarms_equal_the_batch_after_late_rows(spark, tmp_path, order):
+    from tidemill.streaming.monitors import read_gap_alarms, read_lag_alarms, stream_ingest_windows
+
+    parts = [([0, 1, 12], [90, 99, 70]), ([40, 41], [61, 65]), ([25, 30, 35, 36], [99, 98, 62, 0])]
+    source, everything = str(tmp_path / "in"), None
+    for n in order:
+        rows = at(spark, *parts[n]).selectExpr("at AS _ingested_at", "at - make_interval(0, 0, 0, 0, 0, 0, x) AS timestamp")
+        everything = rows if everything is None else everything.unionByName(rows)
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        stream_ingest_windows(stream, str(tmp_path / "t"), str(tmp_path / "p")).awaitTermination()
+        table = str(tmp_path / "t")
+        gaps = ingest_gaps(everything, at="_ingested_at").orderBy("window_start").collect()
+        assert read_gap_alarms(spark, table).orderBy("window_start").collect() == gaps
+        lags = ingest_lag(everything).orderBy("window_start").collect()
+        assert read_lag_alarms(spark, table).orderBy("window_start").collect() == lags
+    assert any(r.alarm for r in lags)
+
+
 @pytest.fixture(scope="module")
 def sized(spark):
     rows = spark.range(10).withColumn("device", F.lit("bearing.DE")).withColumn(

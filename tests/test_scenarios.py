@@ -14,7 +14,7 @@ from tidemill.operators.gold import (
     escalation_efficacy, mode_history, mode_trigger_breakdown, sessions_by_state,
 )
 from tidemill.operators.silver import clean_events, fan_out_assets, quarantine_events, select_valid
-from tidemill.operators.monitoring import layer_reconciliation
+from tidemill.operators.monitoring import dead_letter_ids, layer_reconciliation
 
 INFERENCE = "silver_bearing_inference_results"
 
@@ -184,9 +184,13 @@ def test_defects_by_layer(spark):
     assert nulls["DQ9"] == (None, 0.2) and nulls["DQ10"] == (0.1, None)
     (q,) = quarantine_events(b).collect()
     assert q["device_id"] == "DQ7" and q["_quarantine_reason"] == ["null_timestamp"]
-    seen = {r["event_id"]: (r["bronze"], r["cleaned"], r["flattened"]) for r in layer_reconciliation(
-        {"bronze": b, "cleaned": cleaned, "flattened": flat}).collect()}
-    assert seen[events[1]["event_id"]] == (2, 1, 1)
+    seen = {r["event_id"]: (r["dead"], r["bronze"], r["cleaned"], r["flattened"]) for r in layer_reconciliation(
+        {"dead": dead_letter_ids(rejects), "bronze": b, "cleaned": cleaned, "flattened": flat}).collect()}
+    ids = {e["device_id"]: e.get("event_id") for e in events}
+    for name, expected in EXPECTED.items():
+        if name not in ("DQ3", "DQ6"):
+            assert seen[ids[name]] == expected, name
+    assert seen[None] == (2, 0, 0, 0) and len(seen) == 10  # the two without an id share a row
 
 
 def test_cleaned_and_quarantine_partition_bronze(spark):

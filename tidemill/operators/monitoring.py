@@ -51,7 +51,11 @@ def ingest_gaps(
     A non-empty window silences itself and the next ``periods - 1`` windows, so the alarm is
     one aggregation over the window table instead of an ordered pass in a single task.
     """
-    counts = events.groupBy(_start(at, width)).agg(F.count(F.lit(1)).alias("n_events"))
+    return gaps_of_windows(events.groupBy(_start(at, width)).agg(F.count(F.lit(1)).alias("n_events")), width, periods)
+
+
+def gaps_of_windows(counts: DataFrame, width: str, periods: int = PERIODS) -> DataFrame:
+    """The same from the windows' counts: window_start, n_events."""
     step = _seconds(width)
     bounds = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
     # Two steps, so that no row ever holds all windows of a long time range.
@@ -95,7 +99,11 @@ def ingest_lag(
     """Largest lag per ingestion window; the alarm needs ``periods`` adjacent windows above the
     limit. A window without data does not count as above."""
     lag = seconds_between(F.col(event_at), F.col(ingested_at))
-    worst = bronze.groupBy(_start(ingested_at, width)).agg(F.max(lag).alias("max_lag_s"))
+    return lags_of_windows(bronze.groupBy(_start(ingested_at, width)).agg(F.max(lag).alias("max_lag_s")), width, limit, periods)
+
+
+def lags_of_windows(worst: DataFrame, width: str, limit: float = LAG_LIMIT_SECONDS, periods: int = PERIODS) -> DataFrame:
+    """The same from the windows' largest lags: window_start, max_lag_s."""
     seen = _later(worst, width, periods).groupBy("window_start").agg(
         F.count_if(F.col("max_lag_s") > limit).alias("_late"),
         F.max(F.when(F.col("_shift") == 0, F.col("max_lag_s"))).alias("max_lag_s"),
@@ -106,8 +114,19 @@ def ingest_lag(
     )
 
 
+#: The id in a body that may be broken, cut off or wrapped as text in another one (quotes escaped).
+_ID_IN_BODY = r'(?<![A-Za-z0-9_])\\*"event_id\\*"\s*:\s*\\*"([^"\\]+)'
+
+
+def dead_letter_ids(dead_letters: DataFrame, body: str = "raw_body") -> DataFrame:
+    """``event_id`` of each dead letter as far as its text tells, without parsing it; else null."""
+    found = F.regexp_extract(F.col(body), _ID_IN_BODY, 1)
+    return dead_letters.select(F.when(F.trim(found) != "", found).alias("event_id"))
+
+
 def layer_reconciliation(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per event id in every layer (one count column per layer)."""
+    """Rows per event id in every layer (one count column per layer); rows without an id together
+    in one row."""
     tagged = None
     for name, df in layers.items():
         one = df.select("event_id", F.lit(name).alias("_layer"))

@@ -10,7 +10,7 @@ from pyspark.sql.types import DataType, StructType
 
 from tidemill.config import AssetConfig, AssetConfigError
 from tidemill.functions.expectations import broken_names, expect
-from tidemill.schema import FLAT_ENVELOPE
+from tidemill.schema import FLAT_ENVELOPE, LINE_HASH
 
 # One set of predicates decides both what is cleaned and what is quarantined.
 CLEAN_PREDICATES: dict[str, str] = {
@@ -33,6 +33,7 @@ def select_valid(bronze: DataFrame) -> DataFrame:
         F.try_to_timestamp("timestamp").alias("timestamp"),
         "_source_file",
         "_ingested_at",
+        *([LINE_HASH] if LINE_HASH in bronze.columns else []),
     )
 
 
@@ -53,13 +54,14 @@ def dedup_latest(
 
 
 def clean_events(bronze: DataFrame) -> DataFrame:
-    """Valid events, the newest copy of each id (invalid copies never hide a valid one)."""
-    return dedup_latest(
-        select_valid(bronze),
-        ["event_id"],
-        [F.col("_ingested_at"), F.col("_source_file"), F.xxhash64("device_id", "asset_type",
-         "timestamp", "priority", "schema_version", F.to_json("payload"))],
-    )
+    """Valid events, the newest copy of each id (invalid copies never hide a valid one).
+
+    Copies of the same time and file are told apart by the hash of their line, taken when it was
+    parsed; for bronze rows without one it is worked out from the columns."""
+    valid = select_valid(bronze)
+    tie = F.col(LINE_HASH) if LINE_HASH in valid.columns else F.xxhash64(
+        "device_id", "asset_type", "timestamp", "priority", "schema_version", F.to_json("payload"))
+    return dedup_latest(valid, ["event_id"], [F.col("_ingested_at"), F.col("_source_file"), tie]).drop(LINE_HASH)
 
 
 def quarantine_events(bronze: DataFrame) -> DataFrame:

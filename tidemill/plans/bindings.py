@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.envelope import annotate_envelope, valid_rows
 from tidemill.operators.ordered import OrderedRuns
 from tidemill.operators.signal import time_domain_features
+from tidemill.schema import LINE_HASH
 from tidemill.session import apply_semantics
 
 # Shared: columns of `telemetry` over (event_id, ts, user_id, event_type, value, k).
@@ -169,12 +170,18 @@ def validations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """The given table is one file with one row group; text made from it row by row comes, as from
+    many landing files, to all tasks."""
+    return rows.repartition("event_id")
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines with one defect or none each: (value, _source_file, _ingested_at).
 
     Every 17th event is sent a second time, later and from another file.
     """
-    base = events(spark, sf_dir, often=True).select(
+    base = dealt(events(spark, sf_dir, often=True)).select(
         "event_id",
         "user_id",
         "event_type",
@@ -202,7 +209,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_rows(annotate_envelope(raw_lines(spark, sf_dir))).drop("value", "received_at")
+    lines = raw_lines(spark, sf_dir).withColumn(LINE_HASH, F.xxhash64("value"))
+    return valid_rows(annotate_envelope(lines)).drop("value", "received_at")
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -332,12 +332,14 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'cloud_egress', count(DISTINCT device_id) FILTER (asset_type = 'bearing_inference') FROM of
         UNION ALL SELECT 'bearing_ml_features_quarantine', count(*) FILTER (asset_type = 'bearing_sensor') FROM of
         UNION ALL SELECT unnest(['edge_autonomy', 'escalation_efficacy', 'bearing_ml_features']), 0""",
-    "layer_reconciliation": f"""WITH {RAW} SELECT eid AS event_id, count(*) AS bronze,
-        count(*) FILTER (d NOT IN (4, 14)) AS valid,
-        count(DISTINCT CASE WHEN d NOT IN (4, 14) THEN 1 END) AS cleaned,
-        count(*) FILTER (d IN (4, 14)) AS quarantined,
-        count(DISTINCT CASE WHEN d NOT IN (4, 14) AND asset_type = 'bearing_sensor' THEN 1 END)
-          AS flattened FROM bronze GROUP BY eid""",
+    "layer_reconciliation": f"""WITH {RAW} SELECT CASE WHEN d > 1 THEN eid END AS event_id,
+        count(*) FILTER (reason IS NOT NULL) AS dead_letters,
+        count(*) FILTER (reason IS NULL) AS bronze,
+        count(*) FILTER (reason IS NULL AND d NOT IN (4, 14)) AS valid,
+        count(DISTINCT CASE WHEN reason IS NULL AND d NOT IN (4, 14) THEN 1 END) AS cleaned,
+        count(*) FILTER (reason IS NULL AND d IN (4, 14)) AS quarantined,
+        count(DISTINCT CASE WHEN reason IS NULL AND d NOT IN (4, 14) AND asset_type = 'bearing_sensor' THEN 1 END)
+          AS flattened FROM raw GROUP BY 1""",
     "asset_health_summary": f"""WITH {TELE} SELECT asset_type, device_id,
         date_trunc('day', "timestamp") AS event_date, count(*) AS total_events,
         max("timestamp") AS last_seen_at, count(*) FILTER (priority = 'critical') AS critical_event_count,
@@ -563,3 +565,9 @@ ORACLES: dict[str, str] = {
         round(max((epoch_us(at_) - epoch_us(ts)) / 1e6), 6) AS max_lag_s
         FROM ({_time_windows("i", "at_", 3600)}) GROUP BY w""",
 }
+
+# The same results from a stream.
+ORACLES["stream_gap_alarms"] = ORACLES["ingest_gaps"]
+ORACLES["stream_lag_alarms"] = ORACLES["ingest_lag"]
+ORACLES["stream_upsert_latest"] = ORACLES["dedup_latest_rows"]
+ORACLES["small_files_merged_equals_source"] = ORACLES["compacted_table_equals_source"]

@@ -40,7 +40,7 @@ from tidemill.operators.translate import (
 from tidemill.plans import bindings as b
 from tidemill.plans import lifecycle
 from tidemill.plans.medallion import gold as gold_tables, silver
-from tidemill.schema import BRIDGE_NAMESPACE
+from tidemill.schema import BRIDGE_NAMESPACE, LINE_HASH
 from tidemill.session import scratch_path, stable
 from tidemill.sources.landing import (
     bronze_from_landing,
@@ -49,15 +49,18 @@ from tidemill.sources.landing import (
     write_dead_letters,
     write_landing,
 )
-from tidemill.sources.tables import compact_table, read_current, read_table, write_gold
+from tidemill.sources.tables import compact_small_files, compact_table, read_current, read_table, write_gold
 from tidemill.streaming.heartbeat import read_heartbeats, stream_heartbeat_downsample
 from tidemill.streaming.ingest import stream_ingest, stream_to_landing
 from tidemill.streaming.monitors import (
     read_dlq_volume,
+    read_gap_alarms,
     read_ingest_windows,
+    read_lag_alarms,
     stream_dlq_volume,
     stream_ingest_windows,
 )
+from tidemill.streaming.upsert import read_upserted, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,6 +193,14 @@ def compacted_table_equals_source(spark, sf_dir):
     return read_current(spark, table)
 
 
+@query
+def small_files_merged_equals_source(spark, sf_dir):
+    table = scratch_path(spark, "table")
+    rows = b.events(spark, sf_dir).select("event_id", "user_id", "timestamp", "value")
+    write_gold(rows.repartition(24, "event_id"), table)
+    return compact_small_files(spark, table)
+
+
 # -- translation --------------------------------------------------------------
 
 
@@ -202,7 +213,7 @@ def deterministic_event_ids(spark, sf_dir):
 
 def _records(spark, sf_dir):
     """Raw records as JSON text; every eleventh lacks the field named by its translation."""
-    e = b.events(spark, sf_dir, often=True).withColumn("lacking", F.expr("event_id % 11 = 0"))
+    e = b.dealt(b.events(spark, sf_dir, often=True)).withColumn("lacking", F.expr("event_id % 11 = 0"))
     t = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     device = F.concat(F.lit("dev-"), "user_id")
     record = F.struct(
@@ -357,6 +368,19 @@ def dedup_latest_rows(spark, sf_dir):
     return dedup_latest(lines, keys, order)
 
 
+@query
+def stream_upsert_latest(spark, sf_dir):
+    """The newest row of each key from a stream of files whose rows come in no order."""
+    root = scratch_path(spark, "upsert")
+    lines = b.table(spark, sf_dir, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    order = ["l_shipdate"] + [c for c in lines.columns if c not in (*keys, "l_shipdate")]
+    lines.repartition(3, "l_partkey").write.parquet(f"{root}/in")
+    source = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream_upsert(source, f"{root}/table", f"{root}/progress", keys, order, buckets=16).awaitTermination()
+    return read_upserted(spark, f"{root}/table", lines.schema)
+
+
 @query
 def quarantine_events_table(spark, sf_dir):
     return quarantine_events(b.bronze(spark, sf_dir)).select(
@@ -389,13 +413,18 @@ def flatten_all_types(spark, sf_dir):
 
 @query
 def layer_reconciliation(spark, sf_dir):
-    """Counts per layer from the stored tables, of which only ids and flags are read."""
+    """Rows per event id in every layer, of which only ids are read; dead letters without an id
+    that can be told are a row of their own."""
     root = scratch_path(spark, "layers")
-    b.bronze(spark, sf_dir).write.parquet(f"{root}/bronze")
-    bronze = spark.read.parquet(f"{root}/bronze")
+    lines = b.raw_lines(spark, sf_dir).withColumn(LINE_HASH, F.xxhash64("value"))
+    annotated = annotate_envelope(lines)
+    annotated.drop("received_at").withColumn("value", F.when(~F.col("_valid"), F.col("value"))).write.parquet(f"{root}/annotated")
+    stored = spark.read.parquet(f"{root}/annotated")
+    bronze = valid_rows(stored).drop("value")
     layer = silver(bronze)
     return monitoring.layer_reconciliation(
         {
+            "dead_letters": monitoring.dead_letter_ids(stored.filter("NOT _valid"), "value"),
             "bronze": bronze,
             "valid": select_valid(bronze),
             "cleaned": layer.cleaned,
@@ -825,6 +854,26 @@ def ingest_lag(spark, sf_dir):
     return monitoring.ingest_lag(_arrivals(spark, sf_dir), width="1 hour", limit=95.0)
 
 
+def _arrival_windows(spark, sf_dir, at, width):
+    """The windows of a stream of three files, the last of which holds the earliest rows."""
+    root = scratch_path(spark, "ingest-stream")
+    rows = _arrivals(spark, sf_dir).withColumn("_ingested_at", F.col(at))
+    rows.repartitionByRange(3, F.desc("timestamp")).write.parquet(f"{root}/in")
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream_ingest_windows(source, f"{root}/counts", f"{root}/progress", width=width).awaitTermination()
+    return f"{root}/counts"
+
+
+@query
+def stream_gap_alarms(spark, sf_dir):
+    return read_gap_alarms(spark, _arrival_windows(spark, sf_dir, "timestamp", "5 minutes"))
+
+
+@query
+def stream_lag_alarms(spark, sf_dir):
+    return read_lag_alarms(spark, _arrival_windows(spark, sf_dir, "_ingested_at", "1 hour"), width="1 hour", limit=95.0)
+
+
 @query
 def stream_ingest_volume(spark, sf_dir):
     root = scratch_path(spark, "ingest-stream")

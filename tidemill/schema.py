@@ -78,3 +78,6 @@ CONFIG_TYPES = {
     "timestamp": "timestamp",
     "date": "date",
 }
+
+#: Bronze: hash of the raw line, to tell copies apart.
+LINE_HASH = "_line_hash"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.envelope import annotate_envelope, to_body, valid_rows
+from tidemill.schema import LINE_HASH
 
 DATE_PARTITIONS = ("year", "month", "day")
 DEAD_LETTER_FOLDER = "_dlq"
@@ -45,7 +46,7 @@ def read_landing(
 
 def bronze_from_landing(landing: DataFrame) -> DataFrame:
     """Raw lines to bronze rows: envelope columns (payload as VARIANT) plus file metadata."""
-    annotated = annotate_envelope(landing.drop(*DATE_PARTITIONS))
+    annotated = annotate_envelope(landing.drop(*DATE_PARTITIONS).withColumn(LINE_HASH, F.xxhash64("value")))
     return valid_rows(annotated).drop("value")
 
 
