@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +33,9 @@ _NONE = (float("inf"), -1, 0)
 _ENCODERS: dict[str, object] = {}
 
 
-def encoder(path: str, pattern: str):
-    """Byte-level BPE from a file of ranks, kept in the worker process. Texts that look like a
-    special token are ordinary text."""
+def encoder(path: str, pattern: str, special_tokens: Mapping[str, int]):
+    """Byte-level BPE from a file of ranks, kept in the worker process. A special token's string in
+    a text is that token, as in the vocabulary's own library."""
     if path not in _ENCODERS:
         import base64
 
@@ -43,7 +43,7 @@ def encoder(path: str, pattern: str):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special_tokens))
     return _ENCODERS[path]
 
 
@@ -115,7 +115,7 @@ def assign(lengths: np.ndarray, capacity: int = CAPACITY, quadratic: float = QUA
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, pattern: str, *, end_id: int = 1, capacity: int = CAPACITY,
+    docs: DataFrame, tokenizer_path: str, pattern: str, special_tokens: Mapping[str, int] | None = None, *, end_id: int = 1, capacity: int = CAPACITY,
     quadratic: float = QUADRATIC, shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """Pieces of all documents (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens,
@@ -125,7 +125,7 @@ def pack(
         StructField("doc_id", docs.schema["doc_id"].dataType), *(StructField(f, LongType(), False) for f in fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, pattern).encode_to_numpy
+        encode = encoder(tokenizer_path, pattern, special_tokens or {}).encode_to_numpy
         first = TaskContext.get().partitionId() << _SHARD_BITS
 
         def packed(names: list, tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -145,7 +145,7 @@ def pack(
             done = 0
             texts = batch.column("text")
             for i in range(batch.num_rows):
-                ids = encode(texts[i].as_py() or "", disallowed_special=())
+                ids = encode(texts[i].as_py() or "", allowed_special="all")
                 tokens.append(np.append(ids.astype(np.uint32, copy=False), np.uint32(end_id)))
                 total += len(tokens[-1])
                 if total >= shard_tokens:

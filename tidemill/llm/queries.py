@@ -61,11 +61,16 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", *map(number, pii.PATTERNS), "row.text")
 
 
-def tokenizer() -> tuple[str, str]:
-    """The ranks of the byte-level vocabulary and the pattern that parts texts into words."""
+def tokenizer() -> tuple[str, str, dict[str, int]]:
+    """The ranks of the byte-level vocabulary, the pattern that parts texts into words, and the
+    vocabulary's added tokens."""
+    import json
+
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
