@@ -82,17 +82,25 @@ def test_suffixes_equal_brute_force(spark, sf_dir):
     assert got == want and sum(w[1] for w in want.values()) > 10_000
 
 
-def test_suffixes_of_edges_equal_brute_force(spark):
+@pytest.mark.parametrize("crowd", [suffixes.CROWD, 3])
+def test_suffixes_of_edges_equal_brute_force(spark, crowd):
     rows = [r for r in edges() if r[0] is not None and len(r[1] or "") < 5000]
     rows += [(100 + i, ("ab" * 40)[i:60 + i]) for i in range(6)]
     rng = random.Random(4)
     passage = "".join(rng.choice("abcd") for _ in range(70))
     for i in range(40):  # a passage between other bytes, cut on either side
         rows.append((200 + i, "".join(rng.choice("xyz") for _ in range(60)) + passage[rng.randrange(25):70 - rng.randrange(25)] + "q" * rng.randrange(60)))
-    got = by_id(suffixes.remove_repeats(frame(spark, rows)).collect(), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = by_id(suffixes.remove_repeats(frame(spark, rows), crowd).collect(), "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == brute.removed_bytes([(r[0], r[1]) for r in rows])
 
 
+@pytest.mark.parametrize("crowd", [5, 40])
+def test_crowded_anchors_give_the_same(spark, sf_dir, crowd):
+    names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    whole = by_id(suffixes.remove_repeats(documents(spark, sf_dir)).collect(), *names)
+    assert by_id(suffixes.remove_repeats(documents(spark, sf_dir), crowd).collect(), *names) == whole
+
+
 def test_deep_shallow_sorts():
     rng = np.random.default_rng(0)
     words = rng.integers(0, 3, size=(3000, 7)).astype(np.uint64)
@@ -103,8 +111,7 @@ def test_deep_shallow_sorts():
     assert sorted(order.tolist()) == list(range(3000))
     assert len({*rows}) == leaf[-1] + 1
     assert all((a == b) == (x == y) for a, b, x, y in zip(rows, rows[1:], leaf, leaf[1:]))
-    heads = [r[:3] for r in rows]
-    assert heads == sorted(heads)
+    assert rows == sorted(rows)
 
 
 @pytest.mark.parametrize("percent", [80, 85])
@@ -163,37 +170,6 @@ def test_statistics_equal_brute_force(spark, sf_dir):
         assert got[i][0] == failed and not (failed and got[i][1])
 
 
-def test_outliers_do_not_shift_the_estimate(spark):
-    """A quarter of the rows lies far away; the estimate is that of the others, and they are kept."""
-    rng = np.random.default_rng(2)
-    rows = [(0.1 + 0.02 * a, 0.0, 0.05 * abs(b), 0.0, 0.02) for a, b in rng.normal(size=(900, 2))]
-    rows += [(0.9, 1.5, 0.9, 0.9, 0.6)] * 250
-    data = [("g", i, *map(float, r)) for i, r in enumerate(rows)]
-    names = ["_group", "_key", *outliers._X]
-    got = outliers.mcd_estimates(spark.createDataFrame(data, names)).collect()
-    assert len(got) == 1
-    assert np.allclose(got[0].mean, np.mean(rows[:900], axis=0), atol=0.02)
-    gap = np.array(rows) - got[0].mean
-    d2 = np.einsum("ij,jk,ik->i", gap, np.array(got[0].precision).reshape(5, 5), gap)
-    limit = outliers.chi_square(outliers.CUTOFF)
-    assert (d2[:900] < limit).all() and (d2[900:] > limit).all()
-
-
-def test_estimates_agree_with_concentration_in_memory(spark):
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=(800, 5)) @ np.diag([0.3, 0.2, 0.4, 0.3, 0.1]) + 1
-    x[:100] += 4
-    rows = spark.createDataFrame([("g", i, *map(float, r)) for i, r in enumerate(x)], ["_group", "_key", *outliers._X])
-    got = outliers.mcd_estimates(rows).first()
-    (mean, cov), = outliers.starting_estimates(x, starts=1)
-    gap = x - mean
-    d2 = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap)
-    scale = max(1.0, np.median(d2) / outliers.chi_square(0.5))
-    inner = x[d2 / scale <= outliers.chi_square(0.975)]
-    assert np.allclose(got.mean, inner.mean(0), atol=0.02)
-    assert np.allclose(np.linalg.inv(np.array(got.precision).reshape(5, 5)), outliers._floored(np.cov(inner.T, bias=True)), rtol=0.1, atol=0.005)
-
-
 def test_pieces_cover_the_public_tokenizer_ids(spark, sf_dir):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -224,6 +200,19 @@ def test_pieces_cover_the_public_tokenizer_ids(spark, sf_dir):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_special_tokens_are_those_of_the_vocabulary(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"one {mark} two", mark, f"{mark}start", f"end{mark}", mark * 3, f" {mark} ", "<|endoftext", f"é{mark}\n\n{mark}ü", "<|endoftext|", f"<{mark}>"]
+    got = by_id(packing.pack(frame(spark, list(enumerate(texts))), *queries.tokenizer()).collect(), "doc_tokens", "ids_crc32")
+    for i, text in enumerate(texts):
+        ids = encode.encode(text, add_special_tokens=False).ids + [1]
+        assert got[i] == (len(ids), brute.crc_of(ids))
+
+
 def test_costs_are_balanced():
     rng = np.random.default_rng(3)
     lengths = rng.integers(5, 900, size=3000)
@@ -266,11 +255,48 @@ def test_counterfactual_penalty_calms_identity_terms(spark):
     assert toxicity.train(docs, labels.filter("toxic = 0")).score("muslims vermin") < 1e-9
 
 
-def test_held_out_labels_are_never_learnt(spark):
+def test_held_out_labels_are_never_learnt(spark, sf_dir):
     from zlib import crc32
 
     ids = spark.range(200).select(F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (crc32(str(r.doc_id).encode()) % 3 == 1) for r in ids)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (toxicity.document_scores(documents(spark, sf_dir), x).orderBy("doc_id").collect() for x in (labels, turned))
+    assert a == b and {r.score for r in a} != {0.0}
+
+
+def test_a_mention_alone_moves_no_score(spark, sf_dir):
+    """Every fitted text has counterfactuals; a neutral sentence scores alike for all terms of a group."""
+    sf = sf_dir.replace("sf0.001", "sf0.01")
+    model = toxicity.train(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+    for group in toxicity.IDENTITY:
+        scores = [model.score(f"the {t} won the game in the town") for t in group]
+        assert max(scores) - min(scores) < 0.02 and max(scores) < 0.3
+    for text in ("Latin America is large", "the latitude of the town", "Atheism is a word"):
+        assert model.score(text) < 0.3
+
+
+def test_counterfactuals_of_a_text():
+    groups = (("a", "b", "c"), ("x", "y"))
+    assert toxicity.counterfactuals("a b", {"a", "b"}, groups) == [("", "a", "b"), ("", "a", "c"), ("", "b", "a"), ("", "b", "c")]
+    seen = set()
+    for i in range(200):
+        (added, none, other), (_, _, again) = toxicity.counterfactuals(f"text {i}", {"text", str(i)}, groups)
+        assert none == "" and added == again != other and any({added, other} <= set(g) for g in groups)
+        seen.add((added, other))
+    assert len(seen) == 8
+    assert toxicity.counterfactuals("a", {"a"}, ()) == []
+
+
+def test_scores_of_empty_and_odd_tables(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    nulls = spark.createDataFrame([(None, 1), (1, None), (2, 1), (4, 0), (4, 1)], "doc_id long, toxic int")
+    assert toxicity.document_scores(frame(spark, []), labels).count() == 0
+    for some in (empty, nulls):
+        got = toxicity.document_scores(frame(spark, edges()), some).collect()
+        assert len(got) == len(edges()) and all(0 <= r.score <= 1 and not r.predicted for r in got if r.doc_id is None)
 
 
 def test_mix_meets_targets(spark, sf_dir):

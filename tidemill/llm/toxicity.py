@@ -1,9 +1,11 @@
 """Toxicity by a counterfactually regularised classifier.
 
-A logistic model over the presence of words and word beginnings. For each labelled text that
-mentions an identity term, counterfactual texts are made in which that term is swapped for others
-of its group; next to the usual loss the fit minimises ``penalty * (score(x) - score(swapped))^2``,
-so that a mention of a group alone moves the score as little as possible.
+A logistic model over the presence of words and word beginnings. Each labelled text gets counterfactual
+texts: a mentioned identity term is swapped for the others of its group; a text without any is
+given one, and a second one of the same group in its place. Next to the usual loss the fit
+minimises ``penalty * (score - counterfactual score)^2``, so that neither which group is mentioned
+nor that one is moves the score more than the labels call for. Identity terms are features as whole
+words only, so nothing learnt from other words that begin alike reaches them.
 
 The model is fitted on at most ``max_rows`` labelled rows, those with the smallest hashes of their
 id, with one text for each id (the least, if texts share an id); features and weights are at most ``max_features``, which also bounds what is sent to the tasks.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -50,7 +53,9 @@ _WORD = re.compile(r"\w+")
 _MEMO = 400_000
 
 
-def features_of(word: str) -> list[str]:
+def features_of(word: str, terms: frozenset[str] = frozenset()) -> list[str]:
+    if word in terms:
+        return ["=" + word]
     return ["=" + word, *("^" + word[:n] for n in BEGINNINGS if len(word) >= n)]
 
 
@@ -60,6 +65,7 @@ class Model:
 
     bias: float
     weights: dict[str, float]
+    terms: frozenset[str] = frozenset()
     _known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
 
     def active(self, words: set[str]) -> set[str]:
@@ -70,7 +76,7 @@ class Model:
             if hit is None:
                 if len(known) > _MEMO:
                     known.clear()
-                hit = known[w] = tuple(f for f in features_of(w) if f in weights)
+                hit = known[w] = tuple(f for f in features_of(w, self.terms) if f in weights)
             if hit:
                 found.update(hit)
         return found
@@ -82,48 +88,56 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def swaps(words: set[str], groups: Sequence[Sequence[str]] = IDENTITY) -> list[tuple[str, str]]:
-    """(term, other term of its group) for each identity term among ``words``."""
-    return [(t, o) for g in groups for t in g if t in words for o in g if o != t]
+def counterfactuals(text: str, words: set[str], groups: Sequence[Sequence[str]] = IDENTITY) -> list[tuple[str, str, str]]:
+    """What to compare a text with: (added to it on one side; taken from it and added to it on the
+    other), '' for nothing. A text that mentions no term is given one by its own hash."""
+    found = [("", t, o) for g in groups for t in g if t in words for o in g if o != t]
+    if found or not groups:
+        return found
+    number = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    group = groups[number % len(groups)]
+    first = number // len(groups) % len(group)
+    second = (first + 1 + number // (len(groups) * len(group)) % max(1, len(group) - 1)) % len(group)
+    return [(group[first], "", group[second]), ("", "", group[first])]
 
 
 def fit_logistic(
-    rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], size: int,
+    rows: list[list[int]], labels: np.ndarray, pairs: np.ndarray, size: int,
     penalty: float, ridge: float = 1e-5, steps: int = 800, rate: float = 0.2,
 ) -> tuple[float, np.ndarray]:
-    """Full-batch fit. ``rows``: active features of each text; ``pairs``: those of a text and of
-    its counterfactual. Both classes weigh the same."""
-    def sparse(lists):
-        at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        return at, np.array([i for x in lists for i in x], dtype=np.int64), len(lists)
-
-    (at, col, n), left, right = sparse(rows), sparse([p[0] for p in pairs]), sparse([p[1] for p in pairs])
+    """Full-batch fit. ``rows``: active features of each text; ``pairs``: (row, feature added on one
+    side, features taken and added on the other), -1 for none. Both classes weigh the same."""
+    at, n = np.repeat(np.arange(len(rows)), [len(x) for x in rows]), len(rows)
+    col = np.array([i for x in rows for i in x], dtype=np.int64)
+    of, one, taken, other = np.asarray(pairs, dtype=np.int64).reshape(-1, 4).T
     y = labels.astype(float)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (n - y.sum()))
-    w, b = np.zeros(size), 0.0
-    m, v = np.zeros(size + 1), np.zeros(size + 1)
+    w, b = np.zeros(size + 1), 0.0  # the last one, -1, stays 0
+    m, v = np.zeros(size + 2), np.zeros(size + 2)
 
-    def score(part, w, b):
-        at, col, n = part
-        return 1 / (1 + np.exp(-np.clip(b + np.bincount(at, w[col], n), -500, 500)))
+    def sigmoid(z):
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
     for step in range(1, steps + 1):
-        p = score((at, col, n), w, b)
-        d = weight * (p - y)
-        grad = np.bincount(col, d[at], size) + ridge * w
-        grad_b = d.sum()
-        if pairs:
-            p1, p2 = score(left, w, b), score(right, w, b)
-            gap = 2 * penalty * (p1 - p2) / len(pairs)
+        z = b + np.bincount(at, w[col], n)
+        d = weight * (sigmoid(z) - y)
+        if len(of):
+            p1, p2 = sigmoid(z[of] + w[one]), sigmoid(z[of] - w[taken] + w[other])
+            gap = 2 * penalty * (p1 - p2) / len(of)
             d1, d2 = gap * p1 * (1 - p1), -gap * p2 * (1 - p2)
-            grad += np.bincount(left[1], d1[left[0]], size) + np.bincount(right[1], d2[right[0]], size)
-            grad_b += d1.sum() + d2.sum()
-        g = np.append(grad, grad_b)
+            d = d + np.bincount(of, d1 + d2, n)
+        grad = np.bincount(col, d[at], size + 1) + ridge * w
+        if len(of):
+            np.add.at(grad, one, d1)
+            np.add.at(grad, taken, -d2)
+            np.add.at(grad, other, d2)
+        grad[-1] = 0
+        g = np.append(grad, d.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return float(b), w
+    return float(b), w[:-1]
 
 
 def train(
@@ -140,13 +154,14 @@ def train(
     texts = docs.select("doc_id", "text").dropna(subset=["doc_id"]).join(F.broadcast(sample), "doc_id").groupBy(
         "doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text"))
     texts = settled(texts.select("toxic", F.coalesce("text", F.lit("")).alias("text")))
+    terms = frozenset(t for g in groups for t in g)
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             seen: dict[str, list[int]] = {}
             for text, toxic in zip(frame["text"], frame["toxic"]):
                 words = set(_WORD.findall(text.lower()))
-                for f in {f for w in words for f in features_of(w)}:
+                for f in {f for w in words for f in features_of(w, terms)}:
                     seen.setdefault(f, [0, 0])[toxic] += 1
             yield pd.DataFrame({"feature": seen.keys(), "clean": [x[0] for x in seen.values()],
                                 "bad": [x[1] for x in seen.values()]})
@@ -164,33 +179,30 @@ def train(
     held = F.col("bad") + F.col("clean")
     telling = 2 * (part(F.col("bad"), held, totals[1]) + part(F.col("clean"), held, totals[0])
                    + part(totals[1] - F.col("bad"), n - held, totals[1]) + part(totals[0] - F.col("clean"), n - held, totals[0]))
-    terms = {t for g in groups for t in g}
-    own = sorted({f for t in terms for f in features_of(t)})
+    own = ["=" + t for t in sorted(terms)]
     more_often = F.col("bad") * totals[0] > F.col("clean") * totals[1] * LEAST_RATIO
     best = [r["feature"] for r in counts.filter(more_often).withColumn("_g", telling).filter(F.col("_g") >= LEAST_G)
             .orderBy(F.desc("_g"), "feature").limit(max(0, max_features - len(own))).collect()]
     names = sorted({*best, *own})
     number = {f: i for i, f in enumerate(names)}
-    blank = Model(0.0, dict.fromkeys(names, 0.0))
+    blank = Model(0.0, dict.fromkeys(names, 0.0), terms)
 
     def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for text, toxic in zip(frame["text"], frame["toxic"]):
                 words = set(_WORD.findall(text.lower()))
-                row = sorted(number[f] for f in blank.active(words))
-                out.append((int(toxic), row, False))
-                for term, other in swaps(words, groups):
-                    out.append((int(toxic), row, True))
-                    out.append((int(toxic), sorted(number[f] for f in blank.active(words - {term} | {other})), True))
-            yield pd.DataFrame(out, columns=["toxic", "row", "pair"])
-
-    rows = texts.mapInPandas(encoded, "toxic int, row array<int>, pair boolean").toPandas()
-    plain = rows[~rows["pair"]]
-    swapped = [list(x) for x in rows[rows["pair"]]["row"]]
-    bias, w = fit_logistic([list(x) for x in plain["row"]], plain["toxic"].to_numpy(),
-                           list(zip(swapped[::2], swapped[1::2])), len(names), penalty)
-    return Model(bias, {f: float(w[i]) for f, i in number.items() if w[i]})
+                pairs = [[number["=" + t] if t and (t in words) == (i == 1) else -1 for i, t in enumerate(c)]
+                         for c in counterfactuals(text, words, groups)]  # what is there can't be added, nor else be taken
+                out.append((int(toxic), sorted(number[f] for f in blank.active(words)), [i for p in pairs for i in p]))
+            yield pd.DataFrame(out, columns=["toxic", "row", "pairs"])
+
+    # at most max_rows rows, each with at most three numbers for each pair of terms of a group
+    rows = texts.mapInPandas(encoded, "toxic int, row array<int>, pairs array<int>").toPandas()
+    each = [np.asarray(p, dtype=np.int64).reshape(-1, 3) for p in rows["pairs"]]
+    pairs = np.column_stack([np.repeat(np.arange(len(each)), [len(p) for p in each]), np.concatenate(each)])
+    bias, w = fit_logistic([list(x) for x in rows["row"]], rows["toxic"].to_numpy(), pairs, len(names), penalty)
+    return Model(bias, {f: float(w[i]) for f, i in number.items() if w[i]}, terms)
 
 
 def scored(model: Model, text: Column) -> Column:
