@@ -11,8 +11,11 @@ sums of products. A group of any size is split over all tasks and combined befor
 Languages and sources with few rows are pooled by language, then altogether; where even that has
 fewer than ``min_rows``, nothing is rejected beyond the base rules.
 
-Statistics that are the same for most texts would make the covariance singular, so in every direction
-the variance is at least that of the standard deviations in ``FLOORS``.
+Statistics that are the same for most texts make such a covariance singular. It is then regularised as in
+the minimum regularised covariance determinant: mixed with a diagonal target by the least part that
+brings the condition number (in units of the target) down to ``CONDITION``; a covariance that is
+well-conditioned stays as it is. The target is the table's own scale of departures: the mean
+square distance from the median of those rows that differ from it.
 
 Defined cases: null or empty text has no words and fails the base rules; null language or source is
 a value of its own; null ids and repeated rows count as rows; an empty table gives an empty result.
@@ -37,13 +40,15 @@ BLANKS = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
 
-#: The transformed vector and the least standard deviation of each entry.
-FLOORS = {"word_length": 0.08, "symbols": 0.10, "dup_lines": 0.16, "repeats": 0.16, "capitals": 0.03}
+#: The transformed vector.
+STATISTICS = ("word_length", "symbols", "dup_lines", "repeats", "capitals")
+CONDITION = 50.0
 COVERED = 0.75  # the part of a group that the estimate is made from
 CUTOFF = 0.99999  # of the chi-square distribution
 SAMPLE_ROWS, STARTS, MIN_ROWS, STEPS = 500, 3, 60, 6
 _BINS = 200  # of the histogram of distances, for each factor e
-_P = len(FLOORS)
+_FINE, _MOST = 1000, 20  # bins for each unit of a statistic, and where they end
+_P = len(STATISTICS)
 _X = [f"_x{i}" for i in range(_P)]
 _UPPER = [(i, j) for i in range(_P) for j in range(i, _P)]
 
@@ -104,14 +109,35 @@ def chi_square(q: float, p: int = _P) -> float:
     return p * (1 - 2 / (9 * p) + NormalDist().inv_cdf(q) * math.sqrt(2 / (9 * p))) ** 3
 
 
-def _floored(cov: np.ndarray) -> np.ndarray:
-    """``cov`` with at least the floors' variance in each direction."""
-    scale = np.array(list(FLOORS.values()))
-    values, vectors = np.linalg.eigh(cov / np.outer(scale, scale))
-    return (vectors * np.maximum(values, 1.0)) @ vectors.T * np.outer(scale, scale)
+def regularised(cov: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """``cov`` mixed with as little of the diagonal ``target`` as its condition needs."""
+    scale = np.sqrt(np.outer(target, target))
+    values = np.linalg.eigvalsh(cov / scale)
+    excess = values[-1] - CONDITION * max(values[0], 0.0)
+    if values[-1] <= 0:
+        return np.diag(target)
+    part = max(0.0, excess / (CONDITION - 1 + excess))
+    return (1 - part) * cov + part * np.diag(target)
+
+
+def departures(rows: DataFrame) -> np.ndarray:
+    """For each statistic of ``rows`` the mean square distance from its median of the rows that aren't
+    there (1 where none is away)."""
+    each = rows.select(F.posexplode(F.array(*_X)).alias("i", "x"))
+    place = F.least(F.floor(F.col("x") * _FINE), F.lit(_FINE * _MOST)).cast("int")
+    bins = each.groupBy("i", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
+    w = Window.partitionBy("i")
+    bins = bins.withColumn("_half", F.sum("n").over(w.orderBy("bin")) * 2 >= F.sum("n").over(w))
+    bins = bins.withColumn("m", F.min(F.when(F.col("_half"), F.col("bin"))).over(w) / F.lit(float(_FINE)))
+    away = bins.filter(F.col("bin") != F.col("m") * _FINE).groupBy("i").agg(
+        F.sum(F.col("q") - 2 * F.col("m") * F.col("s") + F.col("m") * F.col("m") * F.col("n")).alias("d"), F.sum("n").alias("n"))
+    out = np.ones(_P)
+    for r in away.collect():
+        out[r["i"]] = max(r["d"] / r["n"], 1e-12)
+    return out
 
 
-def starting_estimates(x: np.ndarray, starts: int = STARTS, trials: int = 60, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+def starting_estimates(x: np.ndarray, target: np.ndarray, starts: int = STARTS, trials: int = 60, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
     """The best estimates from random subsets of p + 1 rows, each concentrated on ``x``."""
     rng, n = np.random.default_rng(seed), len(x)
     h = max(_P + 1, math.ceil(COVERED * n))
@@ -120,18 +146,18 @@ def starting_estimates(x: np.ndarray, starts: int = STARTS, trials: int = 60, se
         for _ in range(steps):
             gap = x - mean
             near = np.argsort(np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap), kind="stable")[:h]
-            mean, cov = x[near].mean(0), _floored(np.cov(x[near].T, bias=True))
+            mean, cov = x[near].mean(0), regularised(np.cov(x[near].T, bias=True), target)
         return np.linalg.det(cov), mean, cov
 
     found = []
     for _ in range(trials):
         some = x[rng.choice(n, _P + 1, replace=False)]
-        found.append(concentrated(some.mean(0), _floored(np.cov(some.T, bias=True)), 2))
+        found.append(concentrated(some.mean(0), regularised(np.cov(some.T, bias=True), target), 2))
     found.sort(key=lambda f: f[0])
     return [concentrated(f[1], f[2], 10)[1:] for f in found[:starts]]
 
 
-def _shaped(frame: pd.DataFrame) -> list[tuple]:
+def _shaped(frame: pd.DataFrame, target: np.ndarray) -> list[tuple]:
     """Rows (group, start, mean, precision, log determinant) from sums of products."""
     out = []
     for r in frame.itertuples(index=False):
@@ -139,7 +165,7 @@ def _shaped(frame: pd.DataFrame) -> list[tuple]:
         cov = np.zeros((_P, _P))
         for i, j in _UPPER:
             cov[i, j] = cov[j, i] = getattr(r, f"s{i}_{j}") / r.n - mean[i] * mean[j]
-        cov = _floored(cov)
+        cov = regularised(cov, target)
         out.append((r.group, int(r.start), mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
     return out
 
@@ -174,14 +200,14 @@ def _limits(measured: DataFrame, part: float) -> DataFrame:
         F.col("_upto") >= F.ceil(F.col("_all") * part)).groupBy("_g", "start").agg(F.min("_bin").alias("_limit"))
 
 
-def _moments(near: DataFrame) -> DataFrame:
+def _moments(near: DataFrame, target: np.ndarray) -> DataFrame:
     sums = near.groupBy(F.col("_g").alias("group"), "start").agg(
         F.count(F.lit(1)).alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(_X)),
         *(F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"s{i}_{j}") for i, j in _UPPER))
 
     def shape(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame(_shaped(frame), columns=_COLUMNS)
+            yield pd.DataFrame(_shaped(frame, target), columns=_COLUMNS)
 
     return sums.mapInPandas(shape, _ESTIMATE)
 
@@ -210,7 +236,7 @@ def grouped(rows: DataFrame, min_rows: int) -> DataFrame:
                      ).drop("_lang", "_source")
 
 
-def mcd_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
+def mcd_estimates(rows: DataFrame, target: np.ndarray, steps: int = STEPS) -> DataFrame:
     """The reweighted estimate of each group of ``rows`` (_group, the vector and _key, an order
     that does not depend on the vector)."""
     first = Window.partitionBy("_group").orderBy("_key", *_X)
@@ -219,18 +245,18 @@ def mcd_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     def begin(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         x = frame.sort_values(["_rank"])[_X].to_numpy()
         return pd.DataFrame([(key[0], i, mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1]))
-                             for i, (mean, cov) in enumerate(starting_estimates(x))], columns=_COLUMNS)
+                             for i, (mean, cov) in enumerate(starting_estimates(x, target))], columns=_COLUMNS)
 
     estimates = settled(sample.select("_group", "_rank", *_X).groupBy("_group").applyInPandas(begin, _ESTIMATE))
     for _ in range(steps):
-        estimates = settled(_moments(_within_limit(_distances(rows, estimates), COVERED)))
+        estimates = settled(_moments(_within_limit(_distances(rows, estimates), COVERED), target))
     best = estimates.groupBy("group").agg(F.min_by(F.struct(*_COLUMNS[1:]), F.struct("logdet", "start")).alias("e")).select("group", "e.*")
     # the covariance of the nearest rows is too small; its scale is set at the median distance
     measured = _distances(rows, settled(best))
     middle = _limits(measured, 0.5).select(F.col("_g").alias("_mg"), F.exp(F.col("_limit") / F.lit(float(_BINS))).alias("_middle"))
     scale = F.greatest(F.lit(1.0), F.col("_middle") / F.lit(chi_square(0.5)))
     inner = measured.join(middle, F.col("_g") == F.col("_mg")).filter(F.col("_d") / scale <= F.lit(chi_square(0.975)))
-    return settled(_moments(inner))
+    return settled(_moments(inner, target))
 
 
 def filter_documents(docs: DataFrame, *, min_rows: int = MIN_ROWS, cutoff: float = CUTOFF) -> DataFrame:
@@ -239,9 +265,10 @@ def filter_documents(docs: DataFrame, *, min_rows: int = MIN_ROWS, cutoff: float
     rows = with_statistics(docs)
     rows = settled(rows.select("*", key.alias("_key"), *(v.alias(x) for v, x in zip(_vector(), _X))))
     rows = settled(grouped(rows, min_rows))
-    estimates = mcd_estimates(rows.filter(F.col("_group").isNotNull()).select("_group", "_key", *_X))
-    final = rows.join(estimates, F.col("_group") == F.col("group"), "left")
     base = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
+    target = departures(rows.filter(~base))
+    estimates = mcd_estimates(rows.filter(F.col("_group").isNotNull()).select("_group", "_key", *_X), target)
+    final = rows.join(estimates, F.col("_group") == F.col("group"), "left")
     distance = F.sqrt(_distance())
     return final.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
