@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -363,17 +364,15 @@ def _triangle(rows: DataFrame, n: int, sums: list[int]) -> np.ndarray:
         if r is not None:
             yield packed(r, TaskContext.get().partitionId())
 
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        r = reduced(np.frombuffer(b, np.float64).reshape(d, d) for batch in batches for b in batch.column(1).to_pylist())
-        if r is not None:
-            yield packed(r, TaskContext.get().partitionId())
+    def again(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        r = reduced(np.frombuffer(b, np.float64).reshape(d, d) for b in group["r"])
+        return pd.DataFrame({"number": [key[0]], "r": [r.ravel().tobytes()]})
 
     kind = "number long, r binary"
     triangles = settled(rows.select("embedding").mapInArrow(first, kind))
-    while (count := triangles.count()) > 1:
-        triangles = settled(triangles.repartition(max(1, -(-count // FAN_IN)), "number").mapInArrow(again, kind))
+    while triangles.agg(F.max("number")).first()[0] > 0:  # numbered by partition, so FAN_IN at most come together
+        group = F.floor(F.col("number") / FAN_IN).alias("number")
+        triangles = settled(triangles.groupBy(group).applyInPandas(again, kind))
     return np.frombuffer(triangles.first()["r"], np.float64).reshape(d, d)
 
 
