@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.schema import EDGE_TREES, FEATURES, FOREST_SEED, MIN_TRAINING_ROWS
+from tidemill.operators.rank import exact_quantile
 from tidemill.session import stable
 
 NODE_SCHEMA = (
@@ -141,8 +142,8 @@ def fit_isolation_forest(
     forest = Forest(nodes, features, psi, -0.5)
     if contamination == "auto":
         return forest
-    raw = usable.select((score_isolation_forest(forest) + F.lit(forest.offset)).alias("s"))
-    offset = raw.agg(F.percentile_approx("s", float(contamination), 1_000_000)).first()[0]
+    raw = stable(usable.select((score_isolation_forest(forest) + F.lit(forest.offset)).alias("s")))
+    offset = exact_quantile(raw, "s", float(contamination))
     return Forest(nodes, features, psi, offset)
 
 

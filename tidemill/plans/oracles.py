@@ -571,3 +571,6 @@ ORACLES["stream_gap_alarms"] = ORACLES["ingest_gaps"]
 ORACLES["stream_lag_alarms"] = ORACLES["ingest_lag"]
 ORACLES["stream_upsert_latest"] = ORACLES["dedup_latest_rows"]
 ORACLES["small_files_merged_equals_source"] = ORACLES["compacted_table_equals_source"]
+ORACLES["exact_quantiles"] = " UNION ALL ".join(
+    f"SELECT {q}::DOUBLE AS share, round(quantile_disc(l_extendedprice, {q}), 6) AS price FROM lineitem"
+    for q in (0.001, 0.01, 0.1, 0.5, 0.999))

@@ -21,6 +21,7 @@ from tidemill.operators.envelope import (
     validate_envelope,
 )
 from tidemill.operators.heartbeat import heartbeat_downsample
+from tidemill.operators.rank import exact_quantile
 from tidemill.operators.silver import (
     clean_events,
     dedup_latest,
@@ -823,6 +824,14 @@ def projected_egress(spark, sf_dir):
 # -- monitoring ---------------------------------------------------------------
 
 
+@query
+def exact_quantiles(spark, sf_dir):
+    """Order statistics as the forest's threshold takes them, over all prices."""
+    lines = b.table(spark, sf_dir, "lineitem")
+    rows = [(q, exact_quantile(lines, "l_extendedprice", q)) for q in (0.001, 0.01, 0.1, 0.5, 0.999)]
+    return spark.createDataFrame(rows, "share double, price double")
+
+
 @query
 def dlq_volume(spark, sf_dir):
     return monitoring.dlq_volume(_rejects(spark, sf_dir), width="6 hours")
