@@ -8,12 +8,15 @@ smaller id. Only suffixes that can begin such a string are sorted:
    Hashes of anchors are dealt by value; those found in one document only are done with.
 2. The surroundings of the anchors left (all windows that hold the anchor) are dealt by anchor.
    Equal surroundings are one, with their least id.
-3. Where an anchor has several surroundings, the suffixes that start in them are sorted to LENGTH
+   What surrounds an anchor that more than ``CROWD`` documents hold (a common line, each with
+   neighbours of its own) is dealt string by string instead, so that no task gets all of it.
+3. Equal surroundings are found by comparing them whole. Where an anchor has several different ones, the suffixes that start in them are sorted to LENGTH
    bytes, deep-shallow: a multikey sort for the first ``SHALLOW`` words of eight bytes, then blind
    tries for the groups with a longer common prefix: a trie node branches at the first word in
    which its group differs, and only that word is looked at. Leaves of equal strings give the least
    id for each start.
-4. The least ids go back to the documents, which are cut there.
+4. The least ids go back to the documents, which are cut there. They find their surroundings by a hash
+   of 64 bits.
 
 Documents move in blocks of about ``BLOCK_BYTES``; anchors and surroundings as packed arrays, once
 for each block however many of its documents hold them. Nothing is limited in number.
@@ -28,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -42,8 +46,9 @@ K = LENGTH - SPAN + 1
 SIDE = LENGTH - K  # bytes of surroundings on each side of an anchor
 CONTEXT = SIDE + K + SIDE
 SHALLOW = 2
-BLOCK_BYTES = 2_000_000
-BLOCKS_PER_BUCKET = 4
+BLOCK_BYTES = 1_000_000
+BLOCKS_PER_BUCKET = 8
+CROWD = 50_000
 _ROW = 88  # surroundings, their lengths on both sides, padding to whole words
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _TOP = 48
@@ -59,7 +64,8 @@ class Texts:
         self.ends = np.cumsum(self.lengths)
         self.starts = self.ends - self.lengths
         self.n = int(self.lengths.sum())
-        self.bytes = np.frombuffer(b"".join(parts) + bytes(CONTEXT), dtype=np.uint8)
+        self.padded = np.frombuffer(bytes(SIDE) + b"".join(parts) + bytes(CONTEXT), dtype=np.uint8)
+        self.bytes = self.padded[SIDE:]
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, hash of 48 bits, document) of each anchor."""
@@ -98,13 +104,35 @@ class Texts:
         left = np.minimum(SIDE, at - self.starts[doc])
         right = np.minimum(SIDE, self.ends[doc] - at - K)
         out = np.zeros((len(at), _ROW), dtype=np.uint8)
-        offsets = np.arange(CONTEXT) - SIDE
-        out[:, :CONTEXT] = self.bytes[np.maximum(at[:, None] + offsets, 0)]
-        out[:, :CONTEXT][(offsets < -left[:, None]) | (offsets >= K + right[:, None])] = 0
+        out[:, :CONTEXT] = np.lib.stride_tricks.sliding_window_view(self.padded, CONTEXT)[at]
         out[:, CONTEXT], out[:, CONTEXT + 1] = left, right + 1
+        short = np.flatnonzero((left < SIDE) | (right < SIDE))
+        _blanked(out, short, left[short], right[short])
         return out
 
 
+def _blanked(rows: np.ndarray, which: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Sets to 0 what lies beyond ``left`` and ``right`` bytes from the anchor."""
+    offsets = np.arange(CONTEXT) - SIDE
+    kept = (offsets >= -left[:, None]) & (offsets < K + right[:, None])
+    rows[which, :CONTEXT] = np.where(kept, rows[which, :CONTEXT], 0)
+    rows[which, CONTEXT], rows[which, CONTEXT + 1] = left, right + 1
+
+
+def single_starts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Surroundings cut to one string of LENGTH bytes each: (row, number of the surroundings)."""
+    left, right = rows[:, CONTEXT].astype(np.int64), rows[:, CONTEXT + 1].astype(np.int64) - 1
+    parts, of = [np.empty((0, _ROW), np.uint8)], [np.empty(0, np.int64)]
+    for back in range(SIDE + 1):
+        valid = np.flatnonzero((left >= back) & (right >= SIDE - back))
+        own = rows[valid]
+        size = np.full(len(valid), back)
+        _blanked(own, np.arange(len(valid)), size, SIDE - size)
+        parts.append(own)
+        of.append(valid)
+    return np.concatenate(parts), np.concatenate(of)
+
+
 def _hashed(rows: np.ndarray) -> np.ndarray:
     words = rows.view("<u8")
     total = np.zeros(len(rows), dtype=np.uint64)
@@ -169,9 +197,10 @@ def deep_shallow(words: np.ndarray, group: np.ndarray, shallow: int = SHALLOW) -
     return order, np.cumsum(leaf) - 1
 
 
-def least_ids(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For surroundings with their least ids: the least id of equal surroundings, which rows have
-    an anchor with several surroundings, and for those the least id for each start."""
+def least_ids(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For surroundings with their ids: the least id of each distinct one, the number of each row's
+    distinct one, its line in the table if its anchor has several, and the table: for each start, which
+    distinct surroundings have the least id."""
     order = np.argsort(rows.view(f"S{_ROW}").ravel(), kind="stable")
     ordered = rows[order]
     new = np.r_[True, (ordered[1:] != ordered[:-1]).any(1)]
@@ -183,7 +212,7 @@ def least_ids(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     _, anchor, count = np.unique(np.ascontiguousarray(distinct[:, SIDE:SIDE + K]).view(f"S{K}").ravel(),
                                  return_inverse=True, return_counts=True)
     several = np.flatnonzero(count[anchor] > 1)
-    table = np.repeat(own[several][:, None], SIDE + 1, axis=1)
+    table = np.repeat(several[:, None].astype(np.int32), SIDE + 1, axis=1)  # which surroundings have the least id
     texts, group = distinct[several], anchor[several]
     left, right = texts[:, CONTEXT].astype(int), texts[:, CONTEXT + 1].astype(int) - 1
     for back in range(SIDE + 1):  # the suffixes that start ``back`` bytes before the anchor
@@ -194,11 +223,11 @@ def least_ids(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
         strings[:, :LENGTH] = texts[valid, SIDE - back:SIDE - back + LENGTH]
         place, leaf = deep_shallow(strings.view(">u8").astype(np.uint64), group[valid])
         starts = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]])
-        least = np.minimum.reduceat(own[several][valid][place], starts)
-        table[valid[place], back] = least[leaf]
+        first = np.lexsort((own[several][valid][place], leaf))[starts]
+        table[valid[place], back] = several[valid][place][first][leaf].astype(np.int32)
     slot = np.full(len(distinct), -1, dtype=np.int64)
     slot[several] = np.arange(len(several))
-    return own[number], slot[number], table
+    return own, number, slot, table
 
 
 def _slices(texts, limit: int = BLOCK_BYTES) -> Iterator[slice]:
@@ -212,7 +241,7 @@ def _slices(texts, limit: int = BLOCK_BYTES) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each document (doc_id, text)."""
     text = F.coalesce("text", F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -235,32 +264,37 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 _, h, doc = Texts(f["text"]).anchors()
                 if not len(h):
                     continue
-                once = _unique_pairs(h, doc)
-                h, block = once[0], f["block"].to_numpy()[once[1]]
+                h, doc = _unique_pairs(h, doc)
+                block = f["block"].to_numpy()[doc]
                 order = np.lexsort((block, h, bucket_of(h)))
                 h, block = h[order], block[order]
+                first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (block[1:] != block[:-1])])
+                count = np.diff(np.r_[first, len(h)])
+                h, block = h[first], block[first]
                 edges = np.flatnonzero(np.r_[True, np.diff(bucket_of(h).astype(np.int64)) != 0, True])
-                yield pd.DataFrame([(int(bucket_of(h[s:s + 1])[0]), _planes(h[s:e]), block[s:e].astype("<u4").tobytes())
-                                    for s, e in zip(edges, edges[1:])], columns=["bucket", "h", "blocks"])
+                yield pd.DataFrame([(int(bucket_of(h[s:s + 1])[0]), _planes(h[s:e]), block[s:e].astype("<u4").tobytes(), count[s:e].astype("<u4").tobytes())
+                                    for s, e in zip(edges, edges[1:])], columns=["bucket", "h", "blocks", "counts"])
 
     def shared(f: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([_unplanes(x) for x in f["h"]])
         block = np.concatenate([np.frombuffer(x, "<u4") for x in f["blocks"]])
-        _, number, count = np.unique(h, return_inverse=True, return_counts=True)
-        more = count[number] > 1
-        h, block = h[more], block[more]
+        _, number = np.unique(h, return_inverse=True)
+        documents = np.bincount(number, np.concatenate([np.frombuffer(x, "<u4") for x in f["counts"]]))[number]
+        more = documents > 1
+        h, block, documents = h[more], block[more], documents[more]
         order = np.lexsort((h, block))
-        h, block = h[order], block[order]
+        h, block, documents = h[order], block[order], documents[order]
         first = np.r_[True, (h[1:] != h[:-1]) | (block[1:] != block[:-1])][:len(h)]
-        h, block = h[first], block[first]
+        h, block, crowded = h[first], block[first], documents[first] > crowd
         edges = np.flatnonzero(np.r_[True, np.diff(block.astype(np.int64)) != 0, True]) if len(h) else np.array([0])
-        return pd.DataFrame([(int(block[s]), h[s:e].astype("<u8").tobytes()) for s, e in zip(edges, edges[1:])], columns=["block", "h"])
+        return pd.DataFrame([(int(block[s]), h[s:e].astype("<u8").tobytes(), h[s:e][crowded[s:e]].astype("<u8").tobytes())
+                             for s, e in zip(edges, edges[1:])], columns=["block", "h", "crowded"])
 
-    repeated = settled(named.select("block", "text", "doc_id").mapInPandas(find, "bucket int, h binary, blocks binary")
-                       .groupBy("bucket").applyInPandas(shared, "block int, h binary"))
+    repeated = settled(named.select("block", "text", "doc_id").mapInPandas(find, "bucket int, h binary, blocks binary, counts binary")
+                       .groupBy("bucket").applyInPandas(shared, "block int, h binary, crowded binary"))
 
     def surround(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "block", "rows", "ids"]
+        columns = ["bucket", "block", "rows", "ids", "crowded"]
         if not len(left) or not len(right):
             return pd.DataFrame([], columns=columns)
         texts = Texts(left["text"])
@@ -270,32 +304,42 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         if not len(at):
             return pd.DataFrame([], columns=columns)
         rows, ids = texts.surroundings(at, doc), left["doc_id"].to_numpy()[doc]
+        crowded = np.isin(h, np.concatenate([np.frombuffer(x, "<u8") for x in right["crowded"]]))
+        rows, ids, to = rows[~crowded], ids[~crowded], bucket_of(h[~crowded])
+        if crowded.any():
+            each, of = single_starts(texts.surroundings(at[crowded], doc[crowded]))
+            rows, ids = np.concatenate([rows, each]), np.r_[ids, left["doc_id"].to_numpy()[doc[crowded]][of]]
+            to = np.r_[to, bucket_of(_hashed(each))]
         order = np.argsort(rows.view(f"S{_ROW}").ravel(), kind="stable")
-        rows, ids, h = rows[order], ids[order], h[order]
-        first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(1)])
-        rows, ids, to = rows[first], np.minimum.reduceat(ids, first), bucket_of(h[first])
+        rows, ids, to = rows[order], ids[order], to[order]
+        first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(1)][:len(rows)])
+        if not len(first):
+            return pd.DataFrame([], columns=columns)
+        rows, ids, to = rows[first], np.minimum.reduceat(ids, first), to[first]
         order = np.argsort(to, kind="stable")
         rows, ids, to = rows[order], ids[order], to[order].astype(np.int64)
         edges = np.flatnonzero(np.r_[True, np.diff(to) != 0, True])
-        block = int(left["block"].iloc[0])
-        return pd.DataFrame([(int(to[s]), block, rows[s:e].tobytes(), ids[s:e].astype("<i8").tobytes())
-                             for s, e in zip(edges, edges[1:])], columns=columns)
+        block, split = int(left["block"].iloc[0]), np.unique(h[crowded]).astype("<u8").tobytes()
+        return pd.DataFrame([(int(to[s]), block, rows[s:e].tobytes(), ids[s:e].astype("<i8").tobytes(), split if not i else b"")
+                             for i, (s, e) in enumerate(zip(edges, edges[1:]))], columns=columns)
 
     def compared(f: pd.DataFrame) -> pd.DataFrame:
         rows = [np.frombuffer(x, np.uint8).reshape(-1, _ROW) for x in f["rows"]]
-        own, slot, table = least_ids(np.concatenate(rows), np.concatenate([np.frombuffer(x, "<i8") for x in f["ids"]]))
+        own, number, slot, table = least_ids(np.concatenate(rows), np.concatenate([np.frombuffer(x, "<i8") for x in f["ids"]]))
         out, done = [], 0
-        for block, part in zip(f["block"], rows):
-            mine = slice(done, done + len(part))
+        for block, part, crowded in zip(f["block"], rows, f["crowded"]):
+            mine = number[done:done + len(part)]
             done += len(part)
             s = slot[mine]
-            out.append((block, _hashed(part).tobytes(), own[mine].tobytes(), (s >= 0).tobytes(), table[s[s >= 0]].tobytes()))
-        return pd.DataFrame(out, columns=["block", "keys", "own", "several", "starts"])
+            # the ids that this block needs, once each, and their numbers in the table
+            needed, at = np.unique(table[s[s >= 0]], return_inverse=True)
+            out.append((block, _hashed(part).tobytes(), own[mine].tobytes(), (s >= 0).tobytes(), own[needed].tobytes(), at.astype(np.int32).tobytes(), crowded))
+        return pd.DataFrame(out, columns=["block", "keys", "own", "several", "ids", "starts", "crowded"])
 
     texts = named.groupBy("block")
-    around = texts.cogroup(repeated.groupBy("block")).applyInPandas(surround, "bucket int, block int, rows binary, ids binary")
+    around = texts.cogroup(repeated.groupBy("block")).applyInPandas(surround, "bucket int, block int, rows binary, ids binary, crowded binary")
     answers = settled(around.groupBy("bucket").applyInPandas(
-        compared, "block int, keys binary, own binary, several binary, starts binary"))
+        compared, "block int, keys binary, own binary, several binary, ids binary, starts binary, crowded binary"))
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -304,15 +348,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         texts, ids = Texts(left["text"]), left["doc_id"].to_numpy()
         step = np.zeros(texts.n + 1, dtype=np.int32)
         if len(right):
-            keys = np.concatenate([np.frombuffer(x, np.uint64) for x in right["keys"]])
-            own = np.concatenate([np.frombuffer(x, np.int64) for x in right["own"]])
-            several = np.concatenate([np.frombuffer(x, bool) for x in right["several"]])
-            table = np.concatenate([np.frombuffer(x, np.int64) for x in right["starts"]]).reshape(-1, SIDE + 1)
+            keys, own, several = (np.concatenate([np.frombuffer(x, t) for x in right[c]]) for c, t in (("keys", np.uint64), ("own", np.int64), ("several", bool)))
+            # numbers of ids go on from one answer to the next
+            known = [np.frombuffer(x, np.int64) for x in right["ids"]]
+            starts = [np.frombuffer(x, np.int32).reshape(-1, SIDE + 1) for x in right["starts"]]
+            for shift, part in zip(np.cumsum([0, *map(len, known[:-1])]), range(len(starts))):
+                starts[part] = starts[part] + np.int32(shift)
+            known, table = np.concatenate(known), np.concatenate(starts)
             slot = np.cumsum(several) - 1
             order = np.argsort(keys)
-            at, _, doc = texts.anchors()
-            for s in range(0, len(at), 100_000):
-                _cover(step, texts, at[s:s + 100_000], doc[s:s + 100_000], ids, keys[order], order, own, several, table, slot)
+            answers = _Answers(keys[order], order, own, several, slot, known, table)
+            at, h, doc = texts.anchors()
+            crowded = np.isin(h, np.concatenate([np.frombuffer(x, "<u8") for x in right["crowded"]]))
+            for chosen, alone in ((~crowded, False), (crowded, True)):
+                places, docs_of, many = at[chosen], doc[chosen], 5_000 if alone else 50_000
+                for s in range(0, len(places), many):
+                    _cover(step, texts, places[s:s + many], docs_of[s:s + many], ids, answers, alone)
         gone = np.cumsum(step[:-1]) > 0
         rise = np.r_[gone[:1], gone[1:] & ~gone[:-1]] if texts.n else gone
         inner = texts.starts[(texts.lengths > 0)]
@@ -334,21 +385,39 @@ def _unique_pairs(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h[first], doc[first]
 
 
-def _cover(step, texts, at, doc, ids, keys, order, own, several, table, slot) -> None:
-    """Adds +1 and -1 where runs of repeated bytes begin and end."""
+@dataclass(frozen=True)
+class _Answers:
+    """Surroundings by sorted key: their least id, or the least id for each start."""
+
+    keys: np.ndarray
+    order: np.ndarray
+    own: np.ndarray
+    several: np.ndarray
+    slot: np.ndarray
+    known: np.ndarray
+    table: np.ndarray
+
+
+def _cover(step, texts, at, doc, ids, answers: _Answers, alone: bool) -> None:
+    """Adds +1 and -1 where runs of repeated bytes begin and end. ``alone``: start by start."""
     rows = texts.surroundings(at, doc)
+    if alone:
+        rows, of = single_starts(rows)
+        at, doc = at[of], doc[of]
     key = _hashed(rows)
-    found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    hit = keys[found] == key
-    at, doc, rows, number = at[hit], doc[hit], rows[hit], order[found[hit]]
+    found = np.minimum(np.searchsorted(answers.keys, key), len(answers.keys) - 1)
+    hit = answers.keys[found] == key
+    at, doc, rows, number = at[hit], doc[hit], rows[hit], answers.order[found[hit]]
     left, right = rows[:, CONTEXT].astype(np.int64), rows[:, CONTEXT + 1].astype(np.int64) - 1
-    one = ~several[number] & (own[number] < ids[doc]) & (left + right >= SIDE)
+    several = answers.several[number]
+    one = ~several & (answers.own[number] < ids[doc]) & (left + right >= SIDE)
     np.add.at(step, (at - left)[one], 1)
     np.add.at(step, (at + K + right)[one], -1)
-    many = np.flatnonzero(several[number])
-    least = table[slot[number[many]]]
+    many = np.flatnonzero(several)
+    line = answers.slot[number[many]]
     for back in range(SIDE + 1):
-        ok = many[(least[:, back] < ids[doc[many]]) & (left[many] >= back) & (right[many] >= SIDE - back)]
+        least = answers.known[answers.table[line, back]]
+        ok = many[(least < ids[doc[many]]) & (left[many] >= back) & (right[many] >= SIDE - back)]
         np.add.at(step, at[ok] - back, 1)
         np.add.at(step, at[ok] - back + LENGTH, -1)
 
