@@ -40,9 +40,9 @@ def read_batches(spark: SparkSession, table: str, schema: str, below: int | None
 def next_order(spark: SparkSession, table: str, schema: str, stream: str, number: int) -> tuple[int, list[str]]:
     """The place after all batches with rows in ``table``, whichever stream wrote them, and the
     names under which an earlier run of this batch left rows there."""
-    names = _named(spark, table, schema).select("batch").distinct().select("batch", _place().alias("place")).collect()
-    own = [r["batch"] for r in names if r["batch"].endswith(f".{stream}.{number}")]
-    return 1 + max((r["place"] for r in names), default=-1), own
+    own = F.when(F.col("batch").endswith(f".{stream}.{number}"), F.col("batch"))
+    found = _named(spark, table, schema).agg(F.max(_place()).alias("last"), F.collect_set(own).alias("own")).first()
+    return 1 + (-1 if found["last"] is None else found["last"]), list(found["own"])
 
 
 def _named(spark: SparkSession, table: str, schema: str) -> DataFrame:
