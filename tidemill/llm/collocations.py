@@ -5,10 +5,12 @@ longest windows are counted; Spark's ROLLUP over the four columns sums the count
 begin alike, which is the number of occurrences of each phrase of three, two and one words and, at the
 level of the language alone, of all words. So no phrase length is exploded by itself.
 
-A first pass counts words and pairs of words in a sketch of ``CELLS`` hashed cells (a cell counts up
-to ``least`` and is never too low). A window is padded from where its cells prove that no phrase
-goes on ``least`` times: such words are in no candidate, and every phrase that has ``least``
-occurrences keeps them all. The sketch has one byte a cell, whatever the input.
+Two passes before count phrases in sketches of hashed cells (a cell counts up to ``least`` and is never
+too low): words and pairs of words, then the phrases of three and four words all of whose pairs may
+be frequent. A window is padded from where its cells prove that no phrase goes on ``least`` times:
+every phrase that has ``least`` occurrences keeps them all. A sketch has a cell of one byte for every
+``BYTES_PER_CELL`` bytes of text, ``MOST_CELLS`` (256 MB) at most, so that as much is pruned from more
+text; beyond that windows only get longer, with the same result.
 
 A candidate's score is that of its lowest cut. Cuts and contained phrases are looked up by joins on
 (language, phrase). The best of a language are chosen in ``SHARES`` shares first, so that the task
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,9 +38,11 @@ from tidemill.llm.common import settled, text_or_empty
 
 LONGEST = 4
 LEAST, CONTAINED, PER_LANG = 30, 80, 2000
-CELLS, SEGMENTS = 1 << 24, 256
-BLOCK_BYTES = 4_000_000
+BYTES_PER_CELL, LEAST_CELLS, MOST_CELLS, SEGMENTS = 32, 1 << 20, 1 << 28, 256
+BLOCK_BYTES = 2_000_000
 SHARES = 64
+#: Lengths of phrases that the two sketches count.
+FIRST, THEN = (1, 2), (3, 4)
 _W = [f"w{k}" for k in range(1, LONGEST + 1)]
 _END = b"."
 _MARKS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", b"\n" * 10)
@@ -56,43 +61,73 @@ def _cut(data: bytes, limit: int) -> Iterator[bytes]:
 
 def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
     """(language, words, numbers): the words' numbers one after the other, 0 between pieces."""
-    for batch in batches:
-        texts = defaultdict(list)
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            texts[lang].append(text)
-        for lang, own in texts.items():
-            for part in _cut(b"\n".join(own).lower().translate(_MARKS), limit):  # lower() touches A-Z only
-                number = {_END: 0}
-                tokens = part.replace(b"\n", b" . ").split()
-                ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), dtype=np.int64, count=len(tokens))
-                yield lang, list(number), ids
-
-
-def _cells(lang: str, words: list[bytes], ids: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The next word's number (0 beyond the piece), the cell of each word and of each pair."""
-    seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), dtype=np.uint64, count=len(words))
-    after = np.where(ids > 0, np.r_[ids[1:], 0], 0)
-    pair = (h[ids] * _FACTOR) ^ (h[ids] >> np.uint64(29))
-    pair = (pair + h[after]) * _FACTOR
-    return after, (h % np.uint64(cells)).astype(np.int64)[ids], ((pair ^ (pair >> np.uint64(32))) % np.uint64(cells)).astype(np.int64)
-
+    texts: dict[str, list[bytes]] = defaultdict(list)
+    sizes: dict[str, int] = defaultdict(int)
 
-def _added(sketch: np.ndarray, cells: np.ndarray, most: int) -> None:
-    found, count = np.unique(cells, return_counts=True)
-    sketch[found] = np.minimum(sketch[found] + count, most)
-
-
-def sketched(texts: DataFrame, least: int, cells: int = CELLS) -> np.ndarray:
-    """Counts of words and pairs by cell, up to ``least`` (255 at most)."""
-    most = min(least, 255)
+    def numbered(lang: str) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+        del sizes[lang]
+        for part in _cut(b"\n".join(texts.pop(lang)).lower().translate(_MARKS), limit):  # lower() touches A-Z only
+            number = {_END: 0}
+            tokens = part.replace(b"\n", b" . ").split()
+            ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), dtype=np.int64, count=len(tokens))
+            yield lang, list(number), ids
 
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            lang, text = lang.as_py(), text.as_py()
+            texts[lang].append(text)
+            sizes[lang] += len(text) + 1
+            if sizes[lang] >= limit:
+                yield from numbered(lang)
+            elif len(sizes) > 16:  # many languages wait with little text each
+                yield from numbered(max(sizes, key=sizes.get))
+    for lang in list(sizes):
+        yield from numbered(lang)
+
+
+class _Block:
+    """The windows of a block: columns of numbers and the cells of what they begin with."""
+
+    def __init__(self, lang: str, words: list[bytes], ids: np.ndarray, cells: int):
+        seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))
+        self.hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), dtype=np.uint64, count=len(words))
+        self.columns, self.cells = [ids], cells
+        for _ in range(LONGEST - 1):
+            self.columns.append(np.where(self.columns[-1] > 0, np.r_[self.columns[-1][1:], 0][:len(ids)], 0))
+
+    def cell(self, n: int) -> np.ndarray:
+        """The cells of the first n words of each window."""
+        code = self.hashes[self.columns[0]]
+        for column in self.columns[1:n]:
+            code = ((code ^ (code >> np.uint64(29))) * _FACTOR + self.hashes[column]) * _FACTOR
+        return ((code ^ (code >> np.uint64(32))) % np.uint64(self.cells)).astype(np.int64)
+
+    def keep(self, n: int, begins: np.ndarray) -> None:
+        """Pads windows from the n-th word on where the first n words don't begin a window to keep, nor
+        those that end there a phrase to keep."""
+        self.columns[n - 1] = np.where(begins, self.columns[n - 1], 0)
+        for k in range(n, LONGEST):
+            ends = np.r_[begins[k - n + 1:], np.zeros(k - n + 1, bool)][:len(begins)]
+            self.columns[k] = np.where((self.columns[k - 1] > 0) & ends, self.columns[k], 0)
+
+    def prune(self, sketch: np.ndarray, lengths: tuple[int, ...], most: int) -> None:
+        # all cells are of whole windows, so they come before the first is cut
+        for n, cells in [(n, self.cell(n)) for n in lengths]:
+            self.keep(n, (self.columns[n - 1] > 0) & (sketch[cells] >= most))
+
+
+def sketched(texts: DataFrame, most: int, cells: int, lengths: tuple[int, ...], before: Broadcast | None = None) -> np.ndarray:
+    """Counts by cell, up to ``most``, of the phrases of these lengths that ``before``, the sketch of words
+    and pairs, leaves."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(cells, dtype=np.uint8)
         for lang, words, ids in blocks(batches):
-            after, one, two = _cells(lang, words, ids, cells)
-            _added(sketch, one[ids > 0], most)
-            _added(sketch, two[after > 0], most)
+            block = _Block(lang, words, ids, cells)
+            if before is not None:
+                block.prune(before.value, FIRST, most)
+            for n in lengths:
+                found, counts = np.unique(block.cell(n)[block.columns[n - 1] > 0], return_counts=True)
+                sketch[found] = np.minimum(sketch[found] + counts, most)
         parts = sketch.reshape(SEGMENTS, -1)
         for s in np.flatnonzero(parts.any(axis=1)):
             yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "cells": [zlib.compress(parts[s].tobytes(), 1)]})
@@ -108,37 +143,35 @@ def sketched(texts: DataFrame, least: int, cells: int = CELLS) -> np.ndarray:
 
     kind = "segment int, cells binary"
     out = np.zeros((SEGMENTS, cells // SEGMENTS), dtype=np.uint8)
-    for row in texts.mapInArrow(count, kind).repartition("segment").mapInArrow(fold, kind).collect():
+    for row in settled(texts.mapInArrow(count, kind).repartition("segment").mapInArrow(fold, kind)).collect():
         out[row.segment] = np.frombuffer(zlib.decompress(row.cells), np.uint8)
     return out.ravel()
 
 
-def windows(texts: DataFrame, least: int, cells: int = CELLS) -> DataFrame:
-    """(lang, w1 ... w4, c): counts of padded windows, summed by block; '' pads."""
-    most = min(least, 255)
-    shared = texts.sparkSession.sparkContext.broadcast(sketched(texts, least, cells))
+def windows(texts: DataFrame, least: int, cells: int) -> DataFrame:
+    """(lang, w1 ... w4, c): counts of the windows; '' pads. (They are counted as one text, without
+    the padding, and parted into columns then.)"""
+    most, context = min(least, 255), texts.sparkSession.sparkContext
+    first = context.broadcast(sketched(texts, most, cells, FIRST))
+    then = context.broadcast(sketched(texts, most, cells, THEN, first))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = shared.value
         for lang, words, ids in blocks(batches):
-            after, one, two = _cells(lang, words, ids, len(sketch))
-            columns = [np.where(sketch[one] >= most, ids, 0)]
-            columns[0][ids == 0] = 0
-            goes_on = np.r_[(columns[0][:-1] > 0) & (columns[0][1:] > 0), False][:len(ids)] & (sketch[two] >= most) & (after > 0)
-            for _ in range(LONGEST - 1):
-                ahead = np.r_[columns[-1][1:], 0][:len(ids)]
-                columns.append(np.where(goes_on & (columns[-1] > 0), ahead, 0))
-            total = int((ids > 0).sum())
-            distinct, counts = _counted([c[ids > 0] for c in columns])
-            text = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string())
+            block = _Block(lang, words, ids, cells)
+            block.prune(first.value, FIRST, most)
+            block.prune(then.value, THEN, most)
+            distinct, counts = _counted([c[ids > 0] for c in block.columns])
+            words[0] = b""
             for s in range(0, len(counts), 50_000):
-                n = len(counts[s:s + 50_000])
+                rows = zip(*(c[s:s + 50_000].tolist() for c in distinct))
+                joined = [b" ".join([words[i] for i in row if i]) for row in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n, pa.string()), *(text.take(pa.array(c[s:s + 50_000])) for c in distinct),
-                     pa.array(counts[s:s + 50_000])], names=["lang", *_W, "c"])
-            assert total == counts.sum()
+                    [pa.array([lang] * len(joined), pa.string()), pa.array(joined, pa.binary()).cast(pa.string()), pa.array(counts[s:s + 50_000])],
+                    names=["lang", "words", "c"])
 
-    return texts.mapInArrow(count, f"lang string, {', '.join(f'{w} string' for w in _W)}, c long")
+    found = texts.mapInArrow(count, "lang string, words string, c long").groupBy("lang", "words").agg(F.sum("c").alias("c"))
+    each = F.split("words", " ")
+    return found.select("lang", *(F.coalesce(F.get(each, F.lit(k)), F.lit("")).alias(w) for k, w in enumerate(_W)), "c")
 
 
 def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -158,10 +191,13 @@ def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [rows, *reversed(out)], counts
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, cells: int = CELLS) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = LEAST, cells: int | None = None) -> DataFrame:
     """(lang, words, phrase, f): phrases of 1 to 4 words with ``least`` occurrences, and for each
     language a row with 0 words, the number of all its words."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().cast("binary").alias("text"))
+    if cells is None:
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        cells = min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // BYTES_PER_CELL).bit_length()))
     rolled = windows(texts, least, cells).rollup("lang", *_W).agg(F.sum("c").alias("f"), F.grouping_id().alias("_level"))
     words = F.element_at(F.array(*(F.lit(k) for k in range(LONGEST, -1, -1))), (F.log2(F.col("_level") + 1) + 1).cast("int"))
     rolled = rolled.filter(f"_level < {2 ** (LONGEST + 1) - 1}").withColumn("words", words)
@@ -198,7 +234,7 @@ def scored(counts: DataFrame, contained: int = CONTAINED) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, *, least: int = LEAST, contained: int = CONTAINED, per_lang: int = PER_LANG, cells: int = CELLS,
+    docs: DataFrame, *, least: int = LEAST, contained: int = CONTAINED, per_lang: int = PER_LANG, cells: int | None = None,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of each language of ``docs`` (text, lang)."""
     counts = phrase_counts(docs, least, cells)
