@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WORD, settled, word_count
+from tidemill.llm.common import WORD, one_row_each, settled, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 #: Intensity at given times for the 1st, 2nd, 3rd, 4th ... source, repeating; only the shape counts.
@@ -161,8 +161,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     plan = plan_mix(docs, keep=[mark], **options).groupBy("doc_id", "_keep0").agg(
         F.flatten(F.collect_list(F.filter("passes", lambda p: p["whole"]))).alias("passes"))
     plan = plan.filter(F.size("passes") > 0).select(F.col("doc_id").alias("id"), F.col("_keep0").alias("of"), "passes.position")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), mark.alias("mark")).dropDuplicates(["own", "mark"])
-    joined = rows.join(plan, F.col("own").eqNullSafe(F.col("id")) & F.col("mark").eqNullSafe(F.col("of")))
+    joined = one_row_each(docs).join(plan, F.col("own").eqNullSafe(F.col("id")) & F.col("mark").eqNullSafe(F.col("of")))
     taken = joined.select("row", F.col("own"), F.explode("position").alias("position"))
     return by_position(taken, "position", "own").select("row.*")
 
