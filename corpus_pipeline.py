@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import minhash, mixing, packing, pii, toxicity
-from tidemill.llm.common import settled, table
+from tidemill.llm.common import one_row_each, settled, table
 from tidemill.llm.queries import PII_KEY, tokenizer
 from tidemill.session import apply_semantics
 
@@ -25,10 +25,9 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     text one stays."""
     apply_semantics(spark)
     ids = minhash.survivors(docs, percent=80).select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("mark"))
     same = (F.col("own") == F.col("kept_id")) & (F.col("mark") == F.col("kept_mark"))
-    one = rows.join(ids, same, "left_semi").dropDuplicates(["own", "mark"])
-    return one.unionByName(rows.filter(F.col("own").isNull())).select("row.*")
+    one = one_row_each(docs.filter(F.col("doc_id").isNotNull())).join(ids, same, "left_semi")
+    return one.select("row.*").unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
