@@ -9,7 +9,8 @@ Jaccard similarity. Bands of ``ROWS`` coordinates make candidates, which are ver
 Copies (equal sets) are one class with one node from the start. A bucket of a band links each member
 to one hub, not all pairs; what the hubs leave in different components is tried again with other
 hubs, then with the center of its family (all that buckets connect). What is still apart meets only
-where its differences from the center agree (``_far_pairs``), which loses no similar pair. So no link
+where prefixes of its differences from the center agree (``_far_members``), first with one hub for
+each shared element and then in pairs, which loses no similar pair. So no link
 between different components is lost, and a large group costs a few times its size.
 
 At a similarity of 0.8 a pair shares no band with probability 5e-8, at 0.85 with 6e-11.
@@ -27,16 +28,17 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import settled
+from tidemill.llm.common import cell_counts, settled, settled_if_any
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 T = BANDS * ROWS
-HUB_ROUNDS = 2
-_MEMO = 500_000
+HUB_ROUNDS, FAR_ROUNDS = 2, 1
+CELLS = 1 << 22
+_MEMO = 150_000
 _ODD = np.random.default_rng(11).integers(1, 2**63, size=2 * T + SHINGLE + ROWS + 1, dtype=np.uint64) | np.uint64(1)
 _WORDS: dict[bytes, int] = {}
 
@@ -140,34 +142,35 @@ def components(links: DataFrame) -> DataFrame:
 
     Each node hooks to its least neighbour, pointers are followed to the end, and the links between
     roots go to the next round."""
-    everything, open_links = None, settled(links.select("a", "b"))
-    while not open_links.isEmpty():
+    everything, open_links = None, settled_if_any(links.select("a", "b"))
+    while open_links is not None:
         both = open_links.union(open_links.select("b", "a"))
         hook = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_least")).select(
             "node", F.least("node", "_least").alias("root")))
         while True:
+            moved = Observation()
             next_ = hook.select(F.col("node").alias("root"), F.col("root").alias("_up"))
-            jumped = settled(hook.join(next_, "root").select("node", F.col("_up").alias("root"), (F.col("_up") != F.col("root")).alias("_moved")))
-            hook = jumped.select("node", "root")
-            if jumped.filter("_moved").isEmpty():
+            jumped = hook.join(next_, "root").observe(moved, F.count_if(F.col("_up") != F.col("root")).alias("n"))
+            hook = settled(jumped.select("node", F.col("_up").alias("root")))
+            if not moved.get["n"]:
                 break
         if everything is None:
             everything = hook
         else:
             up = hook.select(F.col("node").alias("root"), F.col("root").alias("_up"))
-            moved = everything.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
-            everything = settled(moved)
+            changed = everything.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
+            everything = settled(changed)
         a = hook.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
         b = hook.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-        open_links = settled(open_links.join(a, "a").join(b, "b").filter("_ra <> _rb").select(
+        open_links = settled_if_any(open_links.join(a, "a").join(b, "b").filter("_ra <> _rb").select(
             F.col("_ra").alias("a"), F.col("_rb").alias("b")).distinct())
     if everything is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return everything
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """The pairs (a, b) whose sets are similar; None without any."""
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             ok = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
@@ -177,7 +180,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(sets.select(F.col("digest").alias("b"), F.col("items").alias("_sb")), "b").join(
         sets.select(F.col("digest").alias("a"), F.col("items").alias("_sa")), "a")
     with _small_batches(pairs, 256):
-        return settled(both.select("a", "b", "_sa", "_sb").mapInPandas(check, "a binary, b binary"))
+        return settled_if_any(both.select("a", "b", "_sa", "_sb").mapInPandas(check, "a binary, b binary"))
 
 
 def _hub_pairs(buckets: DataFrame, number: int) -> DataFrame:
@@ -201,11 +204,17 @@ def _distinct_pairs(joined: DataFrame, other: str) -> DataFrame:
 def _relabelled(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     """``label``: the root of a digest's component so far."""
     if roots is None:
-        return rows.withColumn("label", F.col("digest"))
+        return rows.drop("label").withColumn("label", F.col("digest"))
     label = roots.select(F.col("node").alias("digest"), F.col("root").alias("_root"))
     return rows.drop("label").join(label, "digest", "left").withColumn("label", F.coalesce("_root", "digest")).drop("_root")
 
 
+def _mixed_only(rows: DataFrame, key: list[str]) -> DataFrame | None:
+    """The rows of keys with several labels; None without any."""
+    mixed = rows.groupBy(*key).agg(F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l <> _m").select(*key)
+    return settled_if_any(rows.join(mixed, key))
+
+
 def _families(near: DataFrame, buckets: DataFrame, links: DataFrame | None) -> DataFrame:
     """For the members of buckets with several labels: the family (what buckets connect, similar or
     not) and its center, the member with most links: family, digest, n, center, center_n."""
@@ -220,48 +229,76 @@ def _families(near: DataFrame, buckets: DataFrame, links: DataFrame | None) -> D
     return settled(members.join(ranked, "family").select("family", "digest", "n", "_c.center", "_c.center_n"))
 
 
-def _far_pairs(families: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different labels that may be similar, of which one is not with its family's center.
+def _far_members(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For each member of a family its difference D from the center's set, in prefixes: a row (family,
+    digest, n, d = |D|, at, token) for the first elements of D in an order common to the family.
 
-    Each member is written as its difference D from the center's set. Two sets of sizes n, m are
-    similar if they differ in at most e = (n + m)(100 - percent)/(100 + percent) elements, and they
-    differ in |Dx| + |Dy| - 2 |Dx & Dy|. So similar members share at least o = (|Dx| + |Dy| - e)/2
-    elements of their differences, hence one among the first |D| - o + 1 of each in a common order.
-    (If o is not positive, both are similar to the center, which is known by now.) Members differ
-    from the center mostly in elements of their own, which come first, so few pairs meet, where
-    the sets themselves share nearly all their elements.
+    Two sets of sizes n, m are similar if they differ in at most e = (n + m)(100 - percent)/(100 +
+    percent) elements, and they differ in |Dx| + |Dy| - 2 |Dx & Dy|. So similar members share at least
+    o = (|Dx| + |Dy| - e)/2 elements of their differences, hence one among the first |D| - o + 1 of
+    each in any common order. (If o is not positive, both are similar to the center, which is known
+    by now.) The order is by how often an element is in the family's differences, rarest first, as
+    counted in a sketch of ``CELLS`` cells, whose collisions only change the order. Elements of a
+    passage that most members share come last, and those of one member, which meet nobody, first.
     """
-    labelled = _relabelled(families, roots)
-    center = _relabelled(families.select(F.col("center").alias("digest")).distinct(), roots)
-    labelled = labelled.join(center.select(F.col("digest").alias("center"), F.col("label").alias("_center_label")), "center")
-
     def differences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for x, c, n in zip(f["_sx"], f["_sc"], f["n"]):
-                x, c = np.frombuffer(x, np.uint64), np.frombuffer(c, np.uint64)
-                own, lacking = np.setdiff1d(x, c, assume_unique=True), np.setdiff1d(c, x, assume_unique=True)
-                first = np.concatenate([own, lacking])[: (100 - percent) * n // percent + 1]
-                out.append((len(own) + len(lacking), first.view(np.int64)))
-            yield f.drop(columns=["_sx", "_sc"]).assign(d=[o[0] for o in out], tokens=[o[1] for o in out])
-
-    both = labelled.join(sets.select("digest", F.col("items").alias("_sx")), "digest").join(
+            for x, c in zip(f["_sx"], f["_sc"]):
+                out.append(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(c, np.uint64), assume_unique=True).tobytes())
+            yield f.drop(columns=["_sx", "_sc"]).assign(tokens=out)
+
+    both = families.join(sets.select("digest", F.col("items").alias("_sx")), "digest").join(
         sets.select(F.col("digest").alias("center"), F.col("items").alias("_sc")), "center")
-    both = both.select("family", "digest", "label", "n", (F.col("label") != F.col("_center_label")).alias("far"), "_sx", "_sc")
     with _small_batches(families, 256):
-        written = settled(both.mapInPandas(
-            differences, "family binary, digest binary, label binary, n long, far boolean, d long, tokens array<long>"))
-    x = written.select("*", F.posexplode("tokens").alias("at", "token")).drop("tokens")
-    y = x.select(*(F.col(c).alias(f"y_{c}") for c in x.columns))
+        apart = settled(both.select("family", "digest", "n", "_sx", "_sc").mapInPandas(
+            differences, "family binary, digest binary, n long, tokens binary"))
+
+    def cells_of(family: bytes, tokens: bytes) -> tuple[np.ndarray, np.ndarray]:
+        tokens = np.frombuffer(tokens, np.uint64)
+        return tokens, _mixed(tokens + np.uint64(xxhash.xxh3_64_intdigest(family))) % np.uint64(CELLS)
+
+    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+        for f in frames:
+            for family, tokens in zip(f["family"], f["tokens"]):
+                yield cells_of(family, tokens)[1].astype(np.int64)
+
+    sketch = families.sparkSession.sparkContext.broadcast(cell_counts(apart.select("family", "tokens"), counted, CELLS))
+
+    def prefixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            size, first = [], []
+            for family, n, tokens in zip(f["family"], f["n"], f["tokens"]):
+                tokens, cells = cells_of(family, tokens)
+                size.append(len(tokens))
+                order = np.lexsort((tokens, sketch.value[cells.astype(np.int64)]))
+                first.append(tokens[order][: (100 - percent) * n // percent + 1].view(np.int64))
+            yield f.drop(columns="tokens").assign(d=size, tokens=first)
+
+    with _small_batches(families, 1000):
+        written = settled(apart.mapInPandas(prefixes, "family binary, digest binary, n long, d long, tokens array<long>"))
+    each = written.select("family", "digest", "n", "d", F.posexplode("tokens").alias("at", "token"))
+    shared = each.groupBy("family", "token").agg(F.count(F.lit(1)).alias("_in")).filter("_in > 1").drop("_in")
+    return settled(each.join(shared, ["family", "token"]))
+
+
+def _far_hub_pairs(members: DataFrame, number: int) -> DataFrame:
+    """In each (family, token) with several labels: one hub, paired with the members of other labels."""
+    order = F.struct(F.xxhash64("digest", F.lit(number)).alias("h"), "digest", "label", "n")
+    hubs = members.groupBy("family", "token").agg(F.min(order).alias("_hub"), F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l <> _m")
+    return _distinct_pairs(members.join(hubs.select("family", "token", "_hub"), ["family", "token"]), "_hub")
+
+
+def _far_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different labels that may be similar by what their prefixes share."""
+    y = members.select(*(F.col(c).alias(f"y_{c}") for c in members.columns))
     apart = F.floor((F.col("n") + F.col("y_n")) * (100 - percent) / (100 + percent))
     shared = F.ceil((F.col("d") + F.col("y_d") - apart) / 2)
-    joined = x.filter("far").join(
+    joined = members.join(
         y, (F.col("family") == F.col("y_family")) & (F.col("token") == F.col("y_token")) & (F.col("label") != F.col("y_label"))
-        & (~F.col("y_far") | (F.col("digest") < F.col("y_digest")))
-        & (F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * percent)
+        & (F.col("digest") < F.col("y_digest")) & (F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * percent)
         & (F.col("at") <= F.col("d") - shared) & (F.col("y_at") <= F.col("y_d") - shared))
-    return joined.select(F.least("digest", "y_digest").alias("a"), F.greatest("digest", "y_digest").alias("b"),
-                         "n", F.col("y_n").alias("_on")).distinct()
+    return joined.select(F.col("digest").alias("a"), F.col("y_digest").alias("b"), "n", F.col("y_n").alias("_on")).distinct()
 
 
 def _long_enough(pairs: DataFrame, percent: int) -> DataFrame:
@@ -308,35 +345,40 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     with _small_batches(docs, 2000):
         sets = settled(texts.mapInPandas(sets_of, "digest binary, items binary"))
 
-    links, tested, roots, families = None, None, None, None
-    for number in range(HUB_ROUNDS + 2):
-        if number < HUB_ROUNDS:
+    buckets = None if buckets.isEmpty() else buckets
+    links, tested, roots, families, far = None, None, None, None, None
+    for number in range(HUB_ROUNDS + 2 + FAR_ROUNDS):
+        if number < HUB_ROUNDS and buckets is not None:
             pairs = _hub_pairs(buckets, number)
-        elif buckets.isEmpty():
+        elif buckets is None:
             break
         elif number == HUB_ROUNDS:
             families = _families(components(families), buckets, links)
             pairs = families.filter("digest <> center").select(
                 F.least("digest", "center").alias("a"), F.greatest("digest", "center").alias("b"), "n", F.col("center_n").alias("_on"))
         else:
-            pairs = _far_pairs(families, roots, sets, percent)
+            if far is None:
+                far = _far_members(families, sets, percent)
+            far = _mixed_only(_relabelled(far, roots), ["family", "token"])
+            if far is None:
+                break
+            last = number == HUB_ROUNDS + 1 + FAR_ROUNDS
+            pairs = _far_pairs(far, percent) if last else _far_hub_pairs(far, number)
         if number == 0:
             families = pairs = settled(pairs)  # each bucket's members are joined here, similar or not
         pairs = _long_enough(pairs, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
-        if pairs.isEmpty():
+        pairs = settled_if_any(pairs)
+        if pairs is None:
             continue
         new = _verified(pairs, sets, percent)
         tested = pairs if tested is None else tested.union(pairs)
-        links = new if links is None else links.union(new)
-        if not new.isEmpty():
+        if new is not None:
+            links = new if links is None else links.union(new)
             roots = components(links)
         if number < HUB_ROUNDS and roots is not None:
-            relabelled = _relabelled(buckets, roots)
-            mixed = relabelled.groupBy("band").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l <> _m").select("band")
-            buckets = settled(relabelled.join(mixed, "band"))
+            buckets = _mixed_only(_relabelled(buckets, roots), ["band"])
     if roots is None:
         classes = classes.select("digest", F.col("rep").alias("component"), F.col("digest").alias("root"))
     else:
