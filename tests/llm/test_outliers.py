@@ -23,13 +23,13 @@ def regular(cov, target, condition=50.0):
     if number(0.0) <= condition:
         return cov
     low, high = 0.0, 1.0
-    for _ in range(200):
+    for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if number(middle) > condition else (low, middle)
     return (1 - high) * cov + high * np.diag(target)
 
 
-def estimate(x, target, seed=0, trials=400):
+def estimate(x, target, seed=0, trials=80):
     """Minimum regularised covariance determinant of all rows in memory, reweighted."""
     rng, h, best = np.random.default_rng(seed), math.ceil(outliers.COVERED * len(x)), None
     for _ in range(trials):
