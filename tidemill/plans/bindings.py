@@ -173,7 +173,7 @@ def validations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dealt(rows: DataFrame) -> DataFrame:
     """The given table is one file with one row group; text made from it row by row comes, as from
     many landing files, to all tasks."""
-    return rows.repartition("event_id")
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "event_id")
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
