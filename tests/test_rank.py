@@ -4,8 +4,10 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemill.operators.rank import exact_quantile, value_of_rank
+from tidemill.operators.gold import detection_performance, escalation_efficacy
+from tidemill.operators.rank import exact_quantile, grouped_quantiles, value_of_rank
 
 CASES = {
     "uniform": [random.Random(1).random() for _ in range(3000)],
@@ -31,3 +33,37 @@ def test_every_rank_is_exact(spark, name):
 
 def test_empty_column(spark):
     assert exact_quantile(spark.createDataFrame([], "x double"), "x", 0.5) is None
+
+
+@pytest.mark.parametrize("max_rows", [20, 10**6])
+def test_quantiles_of_groups(spark, max_rows):
+    rng = random.Random(5)
+    groups = {"a": 300, None: 150, "b": 1, "c": 100, "none": 0}
+    values = {g: [rng.choice([rng.gauss(0, 9), rng.randrange(4)]) for _ in range(n)] for g, n in groups.items()}
+    values["c"][:3] = [float("nan")] * 3
+    rows = [(g, float(v)) for g, vs in values.items() for v in vs] + [(g, None) for g in groups for _ in range(7)]
+    counted = spark.createDataFrame(rows, "g string, x double").groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"))
+    shares = {"least": 0.0, "one": 0.01, "half": 0.5, "most": 0.99, "last": 1.0}
+    got = {r.g: r for r in grouped_quantiles(counted, ["g"], "x", shares, "n", max_rows).collect()}
+    assert set(got) == set(groups)
+    for g, vs in values.items():
+        ordered = sorted(vs, key=lambda v: (math.isnan(v), v))
+        for name, q in shares.items():
+            want = ordered[max(1, math.ceil(round(q * len(vs), 9))) - 1] if vs else None
+            assert got[g][name] == want or math.isnan(want) and math.isnan(got[g][name]), (g, name)
+
+
+@pytest.mark.parametrize("max_rows", [9_000, 10**6])
+def test_percentiles_of_large_groups_are_exact(spark, max_rows):
+    """More distinct values than a sketch of the default accuracy keeps apart."""
+    n = 60_000
+    rows = spark.range(n).select(
+        F.col("id").cast("string").alias("event_id"), F.lit("m").alias("mode"), F.lit(None).cast("string").alias("model_version"),
+        F.lit("normal").alias("ground_truth_label"), F.lit(False).alias("anomaly"), F.lit(0.9).alias("edge_confidence"),
+        (F.pmod(F.col("id") * 7919, F.lit(n)) + 1).cast("double").alias("infer_ms")).repartition(5)
+    got = detection_performance(rows, max_rows=max_rows).first()
+    assert (got["n_events"], got["tn"], got["infer_ms_p50"], got["infer_ms_p99"]) == (n, n, n / 2, 0.99 * n)
+    second = rows.select(F.col("event_id").alias("source_event_id"), F.lit(False).alias("cloud_anomaly"),
+                         F.lit(None).cast("boolean").alias("agrees_with_edge"), F.col("infer_ms").alias("validation_latency_ms"))
+    got = escalation_efficacy(rows, second, max_rows).first()
+    assert (got["n_escalations"], got["agreement_rate"], got["edge_accuracy"], got["validation_latency_ms_p50"]) == (n, None, 1.0, n / 2)

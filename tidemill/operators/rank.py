@@ -1,6 +1,6 @@
-"""Exact order statistics of one column, by narrowing histograms.
+"""Exact order statistics: of one column by narrowing histograms, of many groups by running counts.
 
-Each round counts the rows of an interval in ``BINS`` even bins; the bin that holds the wanted rank is the
+Of one column, each round counts the rows of an interval in ``BINS`` even bins; the bin that holds the wanted rank is the
 next interval, from its least to its greatest value. Once an interval has few rows they are sorted.
 A round is one aggregation with partial counts before the shuffle, and the driver sees a
 histogram, or at most ``FEW`` values.
@@ -9,10 +9,14 @@ histogram, or at most ``FEW`` values.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.ordered import MAX_ROWS_PER_TASK, OrderedRuns
+
 BINS, FEW = 4096, 10_000
 
 
@@ -45,3 +49,22 @@ def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
     """The smallest value that at least ``share`` of the column's values don't exceed."""
     n = df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
     return value_of_rank(df, column, max(1, math.ceil(round(share * n, 9))))
+
+
+def grouped_quantiles(
+    counted: DataFrame, keys: Sequence[str], column: str, shares: Mapping[str, float], count: str,
+    max_rows: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """Per group, and for each name in ``shares``, the smallest value that at least that share of the
+    group's values don't exceed; null values take no part. ``counted`` has a row for each group and
+    value with its number in ``count`` and is read three times. A group of more than ``max_rows``
+    values spans many tasks."""
+    known = F.when(F.col(column).isNotNull(), F.col(count)).otherwise(F.lit(0))
+    of = [F.col(k).alias(f"_of_{k}") for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    all_ = counted.groupBy(*of).agg(F.sum(known).alias("_all"))
+    upto = OrderedRuns.of(counted.select(*keys, column, count), keys, [column], max_rows).running(_upto=("sum", known)).rows()
+    # a decimal product: a share of a count is often no double
+    wanted = {name: F.ceil(F.col("_all").cast("decimal(19,0)") * F.lit(Decimal(str(q)))) for name, q in shares.items()}
+    return upto.join(all_, same).groupBy(*keys).agg(
+        *[F.min(F.when(F.col("_upto") >= F.greatest(k, F.lit(1)), F.col(column))).alias(name) for name, k in wanted.items()])
