@@ -3,11 +3,14 @@
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators.gold import detection_performance, escalation_efficacy
 from tidemill.operators.rank import exact_quantile, grouped_quantiles, value_of_rank
+from tidemill.plans.oracles import ORACLES
+from tidemill.plans.queries import QUERIES
 
 CASES = {
     "uniform": [random.Random(1).random() for _ in range(3000)],
@@ -67,3 +70,12 @@ def test_percentiles_of_large_groups_are_exact(spark, max_rows):
                          F.lit(None).cast("boolean").alias("agrees_with_edge"), F.col("infer_ms").alias("validation_latency_ms"))
     got = escalation_efficacy(rows, second, max_rows).first()
     assert (got["n_escalations"], got["agreement_rate"], got["edge_accuracy"], got["validation_latency_ms_p50"]) == (n, None, 1.0, n / 2)
+
+
+def test_published_percentiles_equal_the_sql(spark, sf_dir):
+    con = duckdb.connect()
+    path = sf_dir.replace("sf0.001", "sf0.1")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet'")
+    want = con.execute(f"SELECT mode, model_version, infer_ms_p50, infer_ms_p99 FROM ({ORACLES['published_table']})").fetchall()
+    got = QUERIES["published_table"](spark, path).select("mode", "model_version", "infer_ms_p50", "infer_ms_p99").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
