@@ -102,3 +102,42 @@ def test_stream_with_restart(spark, tmp_path):
         assert stored(spark, table) == latest(spark, everything)
     one = upsert.read_upserted(spark, table, spark.createDataFrame([], SCHEMA).schema)
     assert one.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
+def test_large_buckets_are_merged_in_parts(spark, tmp_path):
+    """A bucket's rows go to several tasks and files."""
+    table, batches = str(tmp_path / "t"), [rows_of(i, 3000, 900) for i in range(3)]
+    for n, rows in enumerate(batches):
+        upsert.upsert_batch(spark.createDataFrame(rows, SCHEMA), table, f"{n}.s.{n}", KEYS, ORDER, 2, rows_per_part=100)
+        assert stored(spark, table) == latest(spark, sum(batches[: n + 1], []))
+    sizes = [r.n for r in upsert._stored(spark, table, spark.createDataFrame([], SCHEMA).schema).groupBy(
+        F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) > 8 and max(sizes) < 250
+    put(spark, table, [(7, 5000, "new")], "9.s.9", 2)
+    assert stored(spark, table) == latest(spark, sum(batches, []) + [(7, 5000, "new")])
+
+
+def test_moved_files_survive_a_retry(spark, tmp_path, monkeypatch):
+    """The driver is lost after some of the files were moved."""
+    table = str(tmp_path / "t")
+    put(spark, table, rows_of(1), "0.s.0")
+    real, moved = upsert._folder, []
+
+    class Stopping:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            if name == "rename":
+                moved.append(name)
+                assert len(moved) < 4, "lost"
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(upsert, "_folder", lambda session, path: (real(session, path)[0], Stopping(real(session, path)[1])))
+    with pytest.raises(AssertionError, match="lost"):
+        put(spark, table, rows_of(2), "1.s.1")
+    monkeypatch.setattr(upsert, "_folder", real)
+    assert files(f"{table}.pending")
+    put(spark, table, rows_of(2), "1.s.1")
+    assert stored(spark, table) == latest(spark, rows_of(1) + rows_of(2))
+    assert not files(f"{table}.pending")
