@@ -6,8 +6,10 @@ from collections import Counter
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tidemill.operators.clustering import interleaved, quantiles, rank
+from tidemill.sources import tables
 from tidemill.sources.tables import POINTER, compact_small_files, compact_table, current_paths, file_sizes, plan_bins, read_current, write_gold
 
 
@@ -40,6 +42,37 @@ def test_filters_on_either_column_skip_files(spark, tmp_path):
     assert read_current(spark, table).exceptAll(rows).isEmpty() and read_current(spark, table).count() == 60_000
 
 
+def test_large_files_are_sorted_in_pieces(spark, tmp_path, monkeypatch):
+    """No task sorts a whole file of the target size, and filters still skip row groups of it."""
+    sorted_rows = []
+    monkeypatch.setattr(tables, "PIECE_ROWS", 5_000)
+    real = DataFrame.sortWithinPartitions
+
+    def counting(df, *order):
+        sorted_rows.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return real(df, *order)
+
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", counting)
+    table = str(tmp_path / "t")
+    rows = spark.range(60_000).select(
+        (F.xxhash64("id") % 1000).alias("device"), (F.xxhash64("id", F.lit(1)) % 100_000).alias("at"), "id", F.sha2(F.col("id").cast("string"), 256).alias("fill"))
+    write_gold(rows.repartition(8), table)
+    total = sum(files_under(current_paths(spark, table)[0]).values())
+    spark.conf.set("parquet.block.size", total // 40)
+    try:
+        compact_table(spark, table, ["device", "at"], total // 3)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    files = files_under(current_paths(spark, table)[0])
+    assert len(sorted_rows) >= 12 and max(sorted_rows) < 12_000 and len(files) <= 4
+    assert skipped(files, "device", 100, 110) > 0.5 and skipped(files, "at", 5_000, 5_500) > 0.5
+    assert read_current(spark, table).exceptAll(rows).isEmpty() and read_current(spark, table).count() == 60_000
+    one = str(tmp_path / "one")
+    write_gold(rows.repartition(8), one)
+    compact_table(spark, one, ["device", "at"])
+    assert len(files_under(current_paths(spark, one)[0])) == 1
+
+
 def test_keys_interleave_bits(spark):
     got = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a long, b long").select(
         "a", "b", interleaved([F.col("a"), F.col("b")], 3).alias("z")).collect()

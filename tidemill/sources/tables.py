@@ -19,6 +19,7 @@ from tidemill.operators.clustering import z_order
 
 POINTER = "CURRENT"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+PIECE_BYTES, PIECE_ROWS = 32 * 1024 * 1024, 500_000
 
 
 def read_table(
@@ -131,11 +132,19 @@ def compact_table(
     n_files = max(1, math.ceil(total / target_bytes))
     rows = spark.read.parquet(*paths)
     order = [z_order(rows, cluster_by).alias("_z"), *cluster_by]
-    return write_gold(_in_order(rows, n_files, order), table)
-
-
-def _in_order(rows: DataFrame, n_files: int, order: Sequence[Column | str]) -> DataFrame:
-    return rows.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+    pieces = math.ceil(max(total / PIECE_BYTES, rows.count() / PIECE_ROWS) / n_files)
+    return write_gold(_in_order(rows, n_files, pieces, order), table)
+
+
+def _in_order(rows: DataFrame, n_files: int, pieces: int, order: Sequence[Column | str]) -> DataFrame:
+    """Rows of ``n_files`` tasks, each a range in order. With several pieces a file they are sorted piece
+    by piece, in tasks that don't grow with the table or the target; what writes a file takes its pieces
+    one after the other, each still in order, whichever comes first."""
+    sorted_ = rows.repartitionByRange(n_files * max(1, pieces), *order).sortWithinPartitions(*order)
+    if pieces <= 1:
+        return sorted_
+    file = F.floor(F.spark_partition_id() / F.lit(pieces)).cast("int")
+    return sorted_.withColumn("_file", file).repartitionById(n_files, "_file").drop("_file")
 
 
 def compact_small_files(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
