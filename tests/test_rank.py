@@ -7,9 +7,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators.gold import detection_performance, escalation_efficacy
+from tidemill.operators.gold import detection_performance, escalation_efficacy, with_outcome
 from tidemill.operators.rank import exact_quantile, grouped_quantiles, value_of_rank
-from tidemill.plans.oracles import ORACLES
+from tidemill.plans.oracles import ORACLES, OUTCOME_UNKNOWN_TN
 from tidemill.plans.queries import QUERIES
 
 CASES = {
@@ -79,3 +79,25 @@ def test_published_percentiles_equal_the_sql(spark, sf_dir):
     want = con.execute(f"SELECT mode, model_version, infer_ms_p50, infer_ms_p99 FROM ({ORACLES['published_table']})").fetchall()
     got = QUERIES["published_table"](spark, path).select("mode", "model_version", "infer_ms_p50", "infer_ms_p99").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_published_table_with_unknown_predictions_equals_the_sql(spark, sf_dir, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT * REPLACE (CASE WHEN event_id % 5 <> 0 THEN value END AS value,
+        CASE WHEN event_id % 11 <> 0 THEN props END AS props) FROM '{sf_dir}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    want = con.execute(ORACLES["published_table"])
+    columns, want = [c[0] for c in want.description], want.fetchall()
+    got = QUERIES["published_table"](spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert all(sum(r[c] for r in got) > 0 for c in ("tp", "fp", "fn", "tn"))
+
+
+def test_outcomes_of_unknowns_equal_the_sql(spark):
+    pairs = [(p, label) for p in (True, False, None) for label in ("normal", "inner_race", None)]
+    rows = with_outcome(spark.createDataFrame(pairs, "anomaly boolean, ground_truth_label string"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (anomaly BOOLEAN, ground_truth_label VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", pairs)
+    want = con.execute(f"SELECT anomaly, ground_truth_label, {OUTCOME_UNKNOWN_TN} FROM t").fetchall()
+    assert set(map(tuple, rows.select("anomaly", "ground_truth_label", "outcome").collect())) == set(want) and len(want) == 9

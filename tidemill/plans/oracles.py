@@ -107,8 +107,13 @@ OUTCOME = (
     "CASE WHEN anomaly AND ground_truth_label <> 'normal' THEN 'TP' WHEN anomaly THEN 'FP' "
     "WHEN ground_truth_label <> 'normal' THEN 'FN' ELSE 'TN' END"
 )
-PERFORMANCE = f"""WITH {TELE}, o AS (
-  SELECT *, {OUTCOME} AS outcome, coalesce(model_version, 'unversioned') AS version FROM telemetry),
+#: An unknown prediction or label counts as TN.
+OUTCOME_UNKNOWN_TN = f"CASE WHEN anomaly IS NULL OR ground_truth_label IS NULL THEN 'TN' ELSE {OUTCOME} END"
+
+
+def _performance(outcome: str) -> str:
+    return f"""WITH {TELE}, o AS (
+  SELECT *, {outcome} AS outcome, coalesce(model_version, 'unversioned') AS version FROM telemetry),
 g AS (
   SELECT mode, version AS model_version, count(*) AS n_events,
          count(*) FILTER (outcome = 'TP') AS tp, count(*) FILTER (outcome = 'FP') AS fp,
@@ -120,6 +125,7 @@ SELECT mode, model_version, n_events, tp, fp, fn, tn, round(infer_ms_p50, 6) AS
        round(infer_ms_p99, 6) AS infer_ms_p99, round(p, 6) AS "precision", round(r, 6) AS recall,
        round(2 * p * r / nullif(p + r, 0), 6) AS f1 FROM pr"""
 
+
 SESSIONS = f"""{TELE}, steps AS (
   SELECT *, lag("timestamp") OVER w AS before,
          CASE WHEN row_number() OVER w = 1 OR mode IS DISTINCT FROM lag(mode) OVER w THEN 1 ELSE 0 END
@@ -254,7 +260,7 @@ ORACLES: dict[str, str] = {
     "stream_ingest_availablenow": f"WITH {RAW} SELECT {ENVELOPE} FROM bronze",
     "table_scan": """SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity FROM lineitem
         WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_quantity > 45""",
-    "published_table": PERFORMANCE,
+    "published_table": _performance(OUTCOME_UNKNOWN_TN),
     "compacted_table_equals_source": """SELECT event_id, user_id, ts AS "timestamp",
         round(value, 6) AS value FROM events""",
     "deterministic_event_ids": f"""SELECT event_id,
@@ -359,7 +365,7 @@ ORACLES: dict[str, str] = {
         CAST((2 * sum(round(latency * 1e6)::BIGINT) + count(latency)) // (2 * count(latency)) / 1e6 AS DOUBLE) AS avg_mode_switch_latency_s,
         round(max(latency), 6) AS max_mode_switch_latency_s FROM history GROUP BY 1, 2, 3""",
     "confusion_outcome": f"WITH {TELE} SELECT event_id, mode, {OUTCOME} AS outcome FROM telemetry",
-    "detection_performance": PERFORMANCE,
+    "detection_performance": _performance(OUTCOME),
     "state_sessions": f"""WITH {SESSIONS} SELECT event_id, device_id, mode, window_id,
         round(gap, 6) AS gap_s FROM sessions""",
     "edge_autonomy": f"""WITH {SESSIONS} SELECT device_id, window_id,
